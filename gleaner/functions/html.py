@@ -1,7 +1,8 @@
 """Element extraction from page source.
 
 Blocks are found by splitting at their opening tags, so nested tags inside a block do not
-matter; positions follow document order. A missing position is NULL, never an error.
+matter; positions are zero-based and follow document order. A missing position is NULL, never
+an error.
 """
 
 from __future__ import annotations
@@ -32,17 +33,16 @@ def texts_by_class(html: Column, name: str) -> Column:
     return F.transform(whole, plain_text)
 
 
-def blocks(html: Column, opening: str) -> Column:
-    """What follows each match of the opening pattern, up to the next match."""
-    parts = F.split(html, opening)
-    return F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
-
-
 def nth(items: Column, position: int) -> Column:
     """Zero-based element, NULL when absent."""
     return F.get(items, position)
 
 
+def nth_block(html: Column, opening: str, position: int) -> Column:
+    """Source between the match number ``position`` of the opening pattern and the next one."""
+    return F.get(F.split(html, opening, position + 3), position + 1)
+
+
 def before(html: Column, closing: str) -> Column:
     """Source up to the first match of a closing pattern."""
     return F.get(F.split(html, closing, 2), 0)

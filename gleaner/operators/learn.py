@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
@@ -20,6 +20,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationS
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.sources.files import staged
+
 # fixed values of the text classifier
 TOKEN_GAPS = r"\W+"
 TOLERANCE = 1.0e-6
@@ -44,13 +46,14 @@ def clean_tokens(df: DataFrame) -> DataFrame:
     return stop_word_remover().transform(tokenizer().transform(df))
 
 
-def vocabulary(df: DataFrame, min_df: float) -> DataFrame:
-    """(term, df, idf) of the fitted vocabulary, which is at most ``vocabSize`` terms."""
-    tokens = clean_tokens(df)
+def vocabulary(tokens: DataFrame, min_df: float) -> DataFrame:
+    """(term, df, idf) of the fitted vocabulary, which is at most ``vocabSize`` terms.
+
+    ``tokens`` holds ``tokens_clean``; stage it, both fits read it."""
     counter = CountVectorizer(inputCol="tokens_clean", outputCol="counts", minDF=min_df).fit(tokens)
     weights = IDF(inputCol="counts", outputCol="tfidf").fit(counter.transform(tokens))
     rows = zip(counter.vocabulary, (int(n) for n in weights.docFreq), (float(w) for w in weights.idf.toArray()))
-    return df.sparkSession.createDataFrame(list(rows), "term string, df long, idf double")
+    return tokens.sparkSession.createDataFrame(list(rows), "term string, df long, idf double")
 
 
 def indexed_categories(df: DataFrame, name: str) -> DataFrame:
@@ -76,7 +79,7 @@ def text_classifier(
     min_df: float = MIN_DOCUMENTS[0],
     compat_indexed: bool = False,
 ) -> tuple[Pipeline, CountVectorizer, LogisticRegression]:
-    """Tokens, stop words, counts, idf, indexed and one-hot categories, logistic regression.
+    """Counts, idf, indexed and one-hot categories, logistic regression over ``tokens_clean``.
 
     ``compat_indexed`` feeds the category indexes instead of the one-hot vectors.
     """
@@ -96,11 +99,18 @@ def text_classifier(
         tol=TOLERANCE,
         maxIter=max_iter,
     )
-    stages = [
-        tokenizer(), stop_word_remover(), counts, idf, *map(_indexer, categories), *encoders,
-        VectorAssembler(inputCols=columns, outputCol="features"), regression,
-    ]
-    return Pipeline(stages=stages), counts, regression
+    assembler = VectorAssembler(inputCols=columns, outputCol="features")
+    return Pipeline(stages=[counts, idf, *map(_indexer, categories), *encoders, assembler, regression]), counts, regression
+
+
+def fit_on_text(estimator, train: DataFrame) -> PipelineModel:
+    """Fit an estimator of ``tokens_clean`` and return a model of the raw ``text``.
+
+    Neither the tokenizer nor the stop words are fitted or tuned, so the tokens are written
+    once instead of being cut again for every pass of every candidate.
+    """
+    tokens = staged(clean_tokens(train).drop("text", "tokens"), "tokens")
+    return PipelineModel(stages=[tokenizer(), stop_word_remover(), estimator.fit(tokens)])
 
 
 def f1_evaluator(label: str, prediction: str = "predictions", metric: str = "f1") -> MulticlassClassificationEvaluator:

@@ -9,6 +9,8 @@ from itertools import pairwise
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleaner.sources.files import staged
+
 SMALL = 50_000  # distinct values that may reach the driver
 FINE = 1_000  # histogram cells per refinement
 
@@ -51,6 +53,11 @@ def order_statistics(values: DataFrame, ranks: list[int], small: int = SMALL, ce
     return found
 
 
+def approximate_percentile(values: DataFrame, share: float, accuracy: int = 1000) -> DataFrame:
+    """One-pass estimate; the rank error is at most ``1 / accuracy`` of the rows."""
+    return values.agg(F.percentile_approx(values.columns[0], share, accuracy).alias("percentile"))
+
+
 def exact_percentile(values: DataFrame, share: float) -> float | None:
     """Percentile with linear interpolation between the two neighbouring values."""
     count = values.agg(F.count(values.columns[0])).first()[0]
@@ -108,33 +115,44 @@ def cumulative_share(bins: DataFrame) -> DataFrame:
     return bins.withColumn("cum_percent", F.sum("n").over(upto) / total * 100.0)
 
 
+def numbered_rows(df: DataFrame, key: str, *order: str, name: str = "at") -> DataFrame:
+    """Zero-based row number within each key, for keys of any size.
+
+    Rows are range-partitioned by key and order, so a hot key fills many equal partitions,
+    and written once; the number is the place inside the partition plus what the key's
+    earlier partitions hold, which is a window over one row per key and partition.
+    ``order`` must make the rows of a key distinct.
+    """
+    ranged = df.repartitionByRange(key, *order).sortWithinPartitions(key, *order)
+    placed = staged(
+        ranged.withColumns({"part": F.spark_partition_id(), "place": F.monotonically_increasing_id()}), "numbered"
+    )
+    earlier = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy(key, "part")
+        .agg(F.min("place").alias("first"), F.count("*").alias("size"))
+        .select(key, "part", (F.coalesce(F.sum("size").over(earlier), F.lit(0)) - F.col("first")).alias("shift"))
+    )
+    joined = placed.join(offsets, [key, "part"])
+    return joined.withColumn(name, F.col("place") + F.col("shift")).drop("part", "place", "shift")
+
+
 def moving_average(
-    df: DataFrame, key: str, ts: str, tie: str, value: str, rows: int, slice_seconds: int = 3600, block: int = 100_000
+    df: DataFrame, key: str, order: list[str], value: str, rows: int, block: int = 100_000
 ) -> DataFrame:
     """Mean of a value over the current and the previous ``rows - 1`` rows of its key.
 
-    A key may hold any part of the table. Rows are numbered per key from counts per time
-    slice, cut into blocks of ``block`` consecutive rows, and the last ``rows - 1`` rows of
-    each block are also given to the next one; every block is a task-sized window.
+    A key may hold any part of the table: its numbered rows are cut into blocks of ``block``
+    consecutive rows, the last ``rows - 1`` rows of each block are also given to the next
+    one, and every block is a task-sized window.
     """
     if rows > block:
         raise ValueError("rows must not exceed block")
-    slices = df.select(
-        key, ts, tie, value, F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / slice_seconds).alias("slice")
-    )
-    earlier = Window.partitionBy(key).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        slices.groupBy(key, "slice")
-        .agg(F.count("*").alias("size"))
-        .select(key, "slice", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("offset"))
-    )
-    within = Window.partitionBy(key, "slice").orderBy(ts, tie)
-    numbered = slices.join(offsets, [key, "slice"]).withColumn("at", F.col("offset") + F.row_number().over(within) - 1)
-    own = F.floor(F.col("at") / block)
-    carried = F.col("at") % block > block - rows
-    placed = numbered.withColumn(
-        "block", F.explode(F.when(carried, F.array(own, own + 1)).otherwise(F.array(own)))
-    )
+    at = F.col("at")
+    numbered = numbered_rows(df.select(key, *order, value), key, *order)
+    own = F.floor(at / block)
+    carried = at % block > block - rows
+    placed = numbered.withColumn("block", F.explode(F.when(carried, F.array(own, own + 1)).otherwise(F.array(own))))
     frame = Window.partitionBy(key, "block").orderBy("at").rowsBetween(1 - rows, 0)
-    mean = placed.withColumn("mean", F.avg(value).over(frame))
-    return mean.filter(own == F.col("block")).select(key, ts, tie, F.col("mean").alias("moving_avg"))
+    mean = placed.withColumn("moving_avg", F.avg(value).over(frame))
+    return mean.filter(own == F.col("block")).select(key, *order, "moving_avg")

@@ -57,39 +57,47 @@ def discount_metrics(offers: DataFrame, key: str = "brand") -> DataFrame:
 
 
 def company_records(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """One typed record per financial page; whatever is missing is NULL."""
-    html = F.col("html")
-    module, row, data = H.class_tag("module", "div"), r"<tr(?:\s[^>]*)?>", H.class_tag("data")
-    header = H.nth(H.blocks(html, r'<[a-z]+[^>]*\sid="sectionHeader"[^>]*>'), 0)
-    columns = {
-        name: H.before(H.nth(H.blocks(html, H.class_tag(name)), 0), H.class_tag("column[0-9]").replace(r"\[0\-9\]", "[0-9]"))
-        for name in ("column1", "column2")
-    }
-
-    def cells(column: str, n_module: int, n_row: int) -> Column:
-        source = H.nth(H.blocks(H.nth(H.blocks(columns[column], module), n_module), row), n_row)
-        return F.transform(H.blocks(source, data), lambda cell: H.plain_text(H.before(cell, "</t[dh]>")))
-
-    def spans(name: str) -> Column:
-        source = H.nth(H.blocks(H.nth(H.blocks(header, module), 0), H.class_tag(name)), 0)
-        return H.blocks(H.before(source, "</div>"), r"<span(?:\s[^>]*)?>")
-
-    staged = pages.select(
+    """One typed record per financial page; whatever is missing is NULL.
+
+    Narrowed step by step - page, column, module, row, cell - so that each split runs once
+    per page on the shortest source that holds what it looks for.
+    """
+    # fixed values: positions of the modules, rows and cells on the page
+    module, row, span = H.class_tag("module", "div"), r"<tr[^>]*>", r"<span[^>]*>"
+    left = H.nth_block(F.col("html"), H.class_tag("column1"), 0)
+    right = H.nth_block(F.col("html"), H.class_tag("column2"), 0)
+    parts = pages.select(
+        key,
+        H.nth_block(F.col("html"), r'<[a-z]+[^>]*\sid="sectionHeader"[^>]*>', 0).alias("header"),
+        F.split(H.before(left, H.class_tag("column2")), module).alias("left"),
+        H.nth_block(right, module, 3).alias("owned"),
+    )
+    rows = parts.select(
+        key,
+        H.nth_block(H.nth(F.col("left"), 2), row, 2).alias("sales"),
+        H.nth_block(H.nth(F.col("left"), 4), row, 1).alias("dividends"),
+        H.nth_block(F.col("owned"), row, 0).alias("owned"),
+        H.nth_block(F.col("header"), H.class_tag("nasdaqChange"), 0).alias("price"),
+        H.nth_block(F.col("header"), H.class_tag("priceChange"), 0).alias("change"),
+    )
+    cells = rows.select(
         key,
-        cells("column1", 1, 2).alias("sales"),
-        cells("column1", 3, 1).alias("dividends"),
-        cells("column2", 3, 0).alias("owned"),
-        F.transform(spans("nasdaqChange"), H.plain_text).alias("price"),
-        F.transform(spans("priceChange"), H.plain_text).alias("change"),
+        *(F.split(name, H.class_tag("data")).alias(name) for name in ("sales", "dividends", "owned")),
+        *(F.split(H.before(F.col(name), "</div>"), span).alias(name) for name in ("price", "change")),
     )
-    number = lambda column, n: F.trim(H.nth(F.col(column), n)).try_cast("double")
-    return staged.select(
+
+    def text(column: str, position: int) -> Column:
+        return F.trim(H.plain_text(H.before(H.nth(F.col(column), position + 1), "</t[dh]>")))
+
+    sales = {f"sales_{name}": millions(text("sales", n)) for n, name in ((1, "mean"), (2, "high"), (3, "low"))}
+    dividends = {f"dividend_{name}": text("dividends", n) for n, name in enumerate(("company", "industry", "sector"))}
+    return cells.select(
         key,
-        *(millions(H.nth(F.col("sales"), n)).alias(f"sales_{name}") for n, name in ((1, "mean"), (2, "high"), (3, "low"))),
-        number("price", 1).alias("share_price"),
-        number("change", 2).alias("change_pct"),
-        percentage(H.nth(F.col("owned"), 0)).alias("owned_pct"),
-        *(number("dividends", n).alias(f"dividend_{name}") for n, name in enumerate(("company", "industry", "sector"))),
+        *(value.alias(name) for name, value in sales.items()),
+        text("price", 1).try_cast("double").alias("share_price"),
+        text("change", 2).try_cast("double").alias("change_pct"),
+        percentage(text("owned", 0)).alias("owned_pct"),
+        *(value.try_cast("double").alias(name) for name, value in dividends.items()),
     )
 
 

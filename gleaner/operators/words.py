@@ -22,13 +22,16 @@ def regroup_lower(counts: DataFrame) -> DataFrame:
 
 
 def count_characters(df: DataFrame, text: str, *keys: str) -> DataFrame:
-    letters = F.filter(F.split(F.col(text), ""), lambda c: c != "")
-    return exploded(df, letters, "ch", *keys).groupBy(*keys, "ch").agg(F.count("*").alias("n"))
+    letters = exploded(df, F.split(F.col(text), ""), "ch", *keys).filter("ch <> ''")
+    return letters.groupBy(*keys, "ch").agg(F.count("*").alias("n"))
 
 
 def token_maps(df: DataFrame, key: str, tokens: Column) -> DataFrame:
-    """One map token -> count per row of ``df``; no larger than the row's own text."""
-    counts = exploded(df, tokens, "word", key).groupBy(key, "word").agg(F.count("*").alias("n"))
+    """One map token -> count per row of ``df``; no larger than the row's own text.
+
+    Placed by the (unique) key first: the texts move once and both groupings stay local.
+    """
+    counts = exploded(df.repartition(key), tokens, "word", key).groupBy(key, "word").agg(F.count("*").alias("n"))
     return counts.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("word", "n"))).alias("counts"))
 
 

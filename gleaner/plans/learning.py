@@ -44,20 +44,28 @@ VOCABULARY = (
 # -- feature stages -----------------------------------------------------------------------
 
 
+def documents(t):
+    return t.spread("documents", "doc_id")
+
+
+def staged_tokens(t):
+    return files.staged(learn.clean_tokens(documents(t)).select("tokens_clean"), "tokens")
+
+
 @query(TOKENS + " SELECT doc_id, array_to_string(tokens, ' ') AS tokens FROM tokens")
 def ml_tokens(t):
-    tokens = learn.tokenizer().transform(t["documents"])
+    tokens = learn.tokenizer().transform(documents(t))
     return tokens.select("doc_id", F.array_join("tokens", " ").alias("tokens"))
 
 
 @query(CLEAN + " SELECT doc_id, array_to_string(tokens, ' ') AS tokens FROM clean")
 def ml_tokens_clean(t):
-    return learn.clean_tokens(t["documents"]).select("doc_id", F.array_join("tokens_clean", " ").alias("tokens"))
+    return learn.clean_tokens(documents(t)).select("doc_id", F.array_join("tokens_clean", " ").alias("tokens"))
 
 
 @query(VOCABULARY + " SELECT term, df FROM vocabulary")
 def ml_vocabulary_df(t):
-    return learn.vocabulary(t["documents"], MIN_DF).select("term", "df")
+    return learn.vocabulary(staged_tokens(t), MIN_DF).select("term", "df")
 
 
 @query(
@@ -65,7 +73,7 @@ def ml_vocabulary_df(t):
     + " SELECT term, round(ln(((SELECT count(*) FROM documents) + 1) / CAST(df + 1 AS DOUBLE)), 9) AS idf FROM vocabulary"
 )
 def ml_idf(t):
-    return learn.vocabulary(t["documents"], MIN_DF).select("term", F.round("idf", 9).alias("idf"))
+    return learn.vocabulary(staged_tokens(t), MIN_DF).select("term", F.round("idf", 9).alias("idf"))
 
 
 INDEXED = """WITH counts AS (SELECT event_type, count(*) AS n FROM events GROUP BY event_type),
@@ -125,10 +133,8 @@ def eval_metrics(t):
 
 
 def labelled_documents(t):
-    """Labelled documents, staged because every fit reads them several times."""
-    documents = t["documents"].select("doc_id", "text", "lang", "source", "n_chars")
-    rows = documents.join(t["labels"].select("doc_id", "quality"), "doc_id")
-    return files.staged(rows, "labelled")
+    rows = documents(t).select("doc_id", "text", "lang", "source", "n_chars")
+    return rows.join(t["labels"].select("doc_id", "quality"), "doc_id")
 
 
 CATEGORIES = ["lang", "source"]
@@ -138,7 +144,7 @@ CATEGORIES = ["lang", "source"]
 def text_quality_model(t):
     train, test = prepare.split_rows(labelled_documents(t), "doc_id", 0.9, SEED)
     classifier, _, _ = learn.text_classifier("quality", ["n_chars"], CATEGORIES, max_iter=MAX_ITER, min_df=MIN_DF)
-    model = classifier.fit(train)
+    model = learn.fit_on_text(classifier, train)
     return model.transform(test).select("doc_id", "quality", F.col("predictions").cast("int").alias("prediction"))
 
 
@@ -148,8 +154,8 @@ def tvs_best_params(t):
     tuner = learn.tuned_text_classifier(
         "quality", ["n_chars"], CATEGORIES, seed=SEED, max_iter=MAX_ITER, min_documents=(MIN_DF, 2 * MIN_DF, 4 * MIN_DF)
     )
-    model = tuner.fit(train)
-    return learn.chosen_params(t.spark, model, model.validationMetrics)
+    tuned = learn.fit_on_text(tuner, train).stages[-1]
+    return learn.chosen_params(t.spark, tuned, tuned.validationMetrics)
 
 
 @query(
@@ -157,17 +163,19 @@ def tvs_best_params(t):
        WHERE substr(md5(concat('2810:', doc_id)), 1, 8) >= 'e6666666'"""
 )
 def ml_reload_same_predictions(t):
-    """Save, load, score again: every prediction must be the same."""
+    """Save the tuned model and its tuner, load the model, score again: all predictions must agree."""
     train, test = prepare.split_rows(labelled_documents(t), "doc_id", 0.9, SEED)
-    classifier, _, _ = learn.text_classifier("quality", ["n_chars"], CATEGORIES, max_iter=5, min_df=MIN_DF)
-    model = classifier.fit(train)
-    path = files.scratch_dir(t.spark, "model")
-    model.write().overwrite().save(path)
-    again = PipelineModel.load(path)
-    first, second = (
-        m.transform(test).select("doc_id", F.col("predictions").alias(name)) for m, name in ((model, "p1"), (again, "p2"))
+    tuner = learn.tuned_text_classifier(
+        "quality", ["n_chars"], CATEGORIES, seed=SEED, max_iter=5, min_documents=(MIN_DF, 2 * MIN_DF)
     )
-    return first.join(second, "doc_id").agg(F.count("*").alias("n"), F.count_if(F.col("p1") == F.col("p2")).alias("n_same"))
+    model = learn.fit_on_text(tuner, train)
+    path = files.scratch_dir(t.spark, "model")
+    tuner.write().overwrite().save(f"{path}/tuner")
+    model.write().overwrite().save(f"{path}/model")
+    again = PipelineModel.load(f"{path}/model")
+    scored = model.transform(test).select("doc_id", "text", "lang", "source", "n_chars", F.col("predictions").alias("first"))
+    both = again.transform(scored)
+    return both.agg(F.count("*").alias("n"), F.count_if(F.col("first") == F.col("predictions")).alias("n_same"))
 
 
 # -- multi-class models -------------------------------------------------------------------

@@ -98,7 +98,7 @@ def early_signal(t):
               ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS moving_avg FROM events"""
 )
 def moving_average(t):
-    averaged = ranks.moving_average(t["events"], "user_id", "ts", "event_id", "value", rows=7)
+    averaged = ranks.moving_average(t["events"], "user_id", ["ts", "event_id"], "value", rows=7)
     return averaged.select("user_id", "event_id", F.round("moving_avg", 6).alias("moving_avg"))
 
 

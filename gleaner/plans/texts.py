@@ -14,9 +14,13 @@ LINES = r"""WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS line FR
                WHERE rtrim(line, ' ') <> '' OR line = '')"""
 
 
+def documents(t):
+    return t.spread("documents", "doc_id")
+
+
 def lines_of(t):
     """Documents as lines of text."""
-    return t["documents"].select(F.explode(F.split("text", "\n")).alias("line"))
+    return documents(t).select(F.explode(F.split("text", "\n")).alias("line"))
 
 
 @query(LINES + " SELECT word, count(*) AS n FROM tokens GROUP BY word")
@@ -43,7 +47,7 @@ RAW = "WITH tokens AS (SELECT unnest(string_split(text, ' ')) AS word FROM docum
 
 @query(RAW + " SELECT word, count(*) AS n FROM tokens GROUP BY word")
 def wordcount_raw(t):
-    return words.count_words(t["documents"], strings.space_tokens(F.col("text")))
+    return words.count_words(documents(t), strings.space_tokens(F.col("text")))
 
 
 @query(
@@ -51,12 +55,12 @@ def wordcount_raw(t):
         SELECT word, count(*) AS n FROM tokens WHERE word <> '' GROUP BY word ORDER BY word"""
 )
 def wordcount_spec(t):
-    return words.count_words(t["documents"], strings.word_tokens(F.col("text"))).orderBy("word")
+    return words.count_words(documents(t), strings.word_tokens(F.col("text"))).orderBy("word")
 
 
 @query(RAW + " SELECT word, count(*) AS n FROM tokens GROUP BY word ORDER BY n DESC, word LIMIT 20")
 def top20_words(t):
-    counts = words.count_words(t["documents"], strings.space_tokens(F.col("text")))
+    counts = words.count_words(documents(t), strings.space_tokens(F.col("text")))
     return counts.orderBy(F.desc("n"), "word").limit(20)
 
 
@@ -69,7 +73,7 @@ def top20_words(t):
 def wc_lines(t):
     """The documents written as text files and counted line by line."""
     path = files.scratch_dir(t.spark, "lines")
-    t["documents"].select("text").filter(F.col("text").isNotNull()).write.text(path)
+    documents(t).select("text").filter(F.col("text").isNotNull()).write.text(path)
     return words.count_words(files.read_lines(t.spark, path), strings.line_tokens(F.col("value")))
 
 
@@ -78,7 +82,7 @@ def wc_lines(t):
        SELECT lang, ch, count(*) AS n FROM chars WHERE ch <> '' GROUP BY lang, ch"""
 )
 def char_frequency(t):
-    return words.count_characters(t["documents"], "text", "lang")
+    return words.count_characters(documents(t), "text", "lang")
 
 
 @query(
@@ -87,7 +91,7 @@ def char_frequency(t):
        SELECT doc_id, CAST(pos AS INTEGER) AS pos, lower(token) AS token FROM tokens"""
 )
 def explode_tokens(t):
-    rows = t["documents"].select("doc_id", F.posexplode(strings.space_tokens(F.col("text"))).alias("pos", "token"))
+    rows = documents(t).select("doc_id", F.posexplode(strings.space_tokens(F.col("text"))).alias("pos", "token"))
     return rows.withColumn("token", F.lower("token"))
 
 
@@ -99,7 +103,7 @@ def explode_tokens(t):
 def match_ends_count(t):
     """Counted inside each row, so only one number per language and task is shuffled."""
     hits = F.size(F.filter(strings.space_tokens(F.col("text")), strings.same_ends))
-    return t["documents"].groupBy("lang").agg(F.sum(hits).alias("n"))
+    return documents(t).groupBy("lang").agg(F.sum(hits).alias("n"))
 
 
 @query(
@@ -108,7 +112,7 @@ def match_ends_count(t):
 )
 def word_lengths(t):
     lengths = F.transform(strings.space_tokens(F.col("text")), lambda w: F.length(w).cast("string"))
-    return t["documents"].select("doc_id", F.array_join(lengths, ",").alias("lengths"))
+    return documents(t).select("doc_id", F.array_join(lengths, ",").alias("lengths"))
 
 
 @query(
@@ -130,7 +134,7 @@ def blocking_key_groups(t):
 )
 def span_rewrite(t):
     new_text = strings.rewrite_span(F.col("text"), "the", "and", "good")
-    rewritten = t["documents"].select("lang", "text", new_text.alias("new_text"))
+    rewritten = documents(t).select("lang", "text", new_text.alias("new_text"))
     return rewritten.groupBy("lang").agg(
         F.count("*").alias("n_docs"),
         F.count_if(F.col("new_text") != F.col("text")).alias("n_rewritten"),

@@ -16,19 +16,23 @@ LINKS = f"""WITH found AS (SELECT page_id, url, regexp_extract_all(html, '{LINK}
                      CAST(generate_subscripts(hrefs, 1) - 1 AS INTEGER) AS pos FROM found)"""
 
 
+def pages(t):
+    return webpages.page_sources(t.spread("pages", "page_id"))
+
+
 @query("SELECT page_id, url, length(html) AS n_chars FROM pages WHERE length(html) > 0")
 def pages_scan(t):
-    return webpages.page_sources(t["pages"]).select("page_id", "url", F.length("html").cast("long").alias("n_chars"))
+    return pages(t).select("page_id", "url", F.length("html").cast("long").alias("n_chars"))
 
 
 @query(LINKS + " SELECT page_id, pos, href, text FROM links")
 def nav_items(t):
-    return webpages.links(webpages.page_sources(t["pages"]), "page_id")
+    return webpages.links(pages(t), "page_id")
 
 
 @query(LINKS + " SELECT page_id, pos, text FROM links WHERE pos < 3")
 def first_n_items(t):
-    return webpages.links(webpages.page_sources(t["pages"]), "page_id", first=3).select("page_id", "pos", "text")
+    return webpages.links(pages(t), "page_id", first=3).select("page_id", "pos", "text")
 
 
 @query(
@@ -38,8 +42,7 @@ def first_n_items(t):
 )
 def links_by_host(t):
     """Links are counted per page inside the row, so nothing is exploded or made distinct."""
-    pages = webpages.page_sources(t["pages"])
-    per_page = pages.select(
+    per_page = pages(t).select(
         F.try_parse_url("url", F.lit("HOST")).alias("host"), F.size(H.link_items(F.col("html"))).alias("n")
     ).filter("n > 0")
     return per_page.groupBy("host").agg(F.sum("n").alias("n_links"), F.count("*").alias("n_pages"))
@@ -55,7 +58,7 @@ PRICES = """WITH found AS (SELECT offer_id, brand,
 @query(PRICES + " SELECT offer_id, prices[1] AS price, marked[1] AS marked_down FROM found", views=("offers",))
 def parse_prices(t):
     html = F.col("html")
-    return t["offers"].select(
+    return t.spread("offers", "offer_id").select(
         "offer_id",
         shop_price(H.nth(H.texts_by_class(html, webpages.PRICE_CLASS), 0)).alias("price"),
         marked_down_price(H.nth(H.texts_by_class(html, webpages.MARKED_DOWN_CLASS), 0)).alias("marked_down"),
@@ -73,7 +76,7 @@ def parse_prices(t):
     views=("offers",),
 )
 def discount_metrics(t):
-    return webpages.discount_metrics(t["offers"])
+    return webpages.discount_metrics(t.spread("offers", "offer_id"))
 
 
 @query(
@@ -87,7 +90,7 @@ def discount_metrics(t):
               CAST(NULL AS DOUBLE) AS dividend_sector FROM part"""
 )
 def company_record(t):
-    return webpages.company_records(t["company_pages"])
+    return webpages.company_records(t.spread("company_pages", "page_id"))
 
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")
@@ -102,4 +105,4 @@ def json_parse(t):
        UNION ALL SELECT payload_id, p_size, NULL, '2018-02-03T04:05:06+00:00' FROM kept"""
 )
 def json_flatten(t):
-    return webpages.flattened_payloads(t["payloads"])
+    return webpages.flattened_payloads(t.spread("payloads", "payload_id"))

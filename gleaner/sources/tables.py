@@ -134,6 +134,14 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
+    def spread(self, name: str, key: str) -> DataFrame:
+        """A scan for work that costs much per row: given one task per core by a unique key
+        when the files alone would yield fewer. Large tables have more splits than that and
+        are left as they are. Only for tables and views without a shuffle of their own."""
+        df = self[name]
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
     def __getitem__(self, name: str) -> DataFrame:
         if name in BASE:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
