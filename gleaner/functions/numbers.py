@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed value: plain decimal notation; exponents are not numbers here
-PLAIN_NUMBER = r"^\s*[+-]?[0-9]+(\.[0-9]*)?\s*$"
+# fixed value: decimal notation without exponent
+DECIMAL = r"^\s*[+-]?[0-9]+\.[0-9]*\s*$"
 
 
 def lenient_int(text: Column) -> Column:
-    """Integer part of a decimal text; NULL for anything else or beyond 32 bits."""
-    return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double").try_cast("int"))
+    """Integer part of a decimal text; NULL for anything else or beyond 32 bits.
+
+    Plain integers take the first branch and never meet the pattern.
+    """
+    return F.coalesce(text.try_cast("int"), F.when(text.rlike(DECIMAL), text.try_cast("double").try_cast("int")))
 
 
 def shop_price(text: Column) -> Column:

@@ -49,14 +49,17 @@ def incidence(messages: DataFrame, ids: list) -> DataFrame:
 
 
 def last_per_station(located: DataFrame, attributes) -> DataFrame:
-    """One row per (message, station): the last by row key. ``max_by`` runs map-side."""
-    taken = [a for a in attributes if a != "distance"]
-    if "distance" in attributes:
-        taken = list(dict.fromkeys([*taken, "lat", "lng", "bs_lat", "bs_lng"]))
-    last = located.groupBy("messid", "bsid").agg(*(F.max_by(a, "row_key").cast("double").alias(a) for a in taken))
+    """One row per (message, station): the last by row key, chosen map-side first.
+
+    The distance is taken before that, because an operator that leaves the JVM forgets how
+    its input was partitioned and would cost the pivot another shuffle.
+    """
     if "distance" in attributes:
-        last = last.withColumn("distance", distance_km(*(F.col(c) for c in ("lat", "lng", "bs_lat", "bs_lng"))))
-    return last.select("messid", "bsid", *attributes)
+        km = distance_km(*(F.col(c) for c in ("lat", "lng", "bs_lat", "bs_lng")))
+        located = located.withColumn("distance", km)
+    return located.groupBy("messid", "bsid").agg(
+        *(F.max_by(a, "row_key").cast("double").alias(a) for a in attributes)
+    )
 
 
 def feature_matrix(located: DataFrame, ids: list, attributes=MODEL_ATTRIBUTES) -> DataFrame:

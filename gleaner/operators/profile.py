@@ -43,6 +43,14 @@ def describe_long(df: DataFrame, names: list[str], digits: int = 4) -> DataFrame
     )
 
 
+def preview_long(df: DataFrame, key: str, n: int = 5) -> DataFrame:
+    """The first rows by key, turned: one (key, column, value) row per cell, values as text."""
+    head = df.orderBy(key).limit(n)
+    others = [name for name in df.columns if name != key]
+    texts = head.select(key, *(F.col(name).cast("string").alias(name) for name in others))
+    return texts.unpivot(key, others, "column_name", "value")
+
+
 def shape(df: DataFrame) -> DataFrame:
     """Row and column count."""
     return df.agg(F.count("*").alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)))

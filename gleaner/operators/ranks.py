@@ -94,13 +94,10 @@ def histogram(values: DataFrame, bins: int) -> DataFrame:
     bins included. One value only: the range is widened by one half on both sides."""
     name = values.columns[0]
     value = F.col(name)
-    edges = values.agg(F.min(value).cast("double").alias("low"), F.max(value).cast("double").alias("high"))
-    flat = F.col("low") == F.col("high")
-    edges = edges.select(
-        F.when(flat, F.col("low") - 0.5).otherwise(F.col("low")).alias("low"),
-        F.when(flat, F.col("high") + 0.5).otherwise(F.col("high")).alias("high"),
-    )
-    low, high = edges.select("low").scalar(), edges.select("high").scalar()
+    ends = values.agg(F.min(value).cast("double").alias("low"), F.max(value).cast("double").alias("high"))
+    half = F.when(F.col("low") == F.col("high"), 0.5).otherwise(0.0)
+    edges = ends.select(F.struct((F.col("low") - half).alias("low"), (F.col("high") + half).alias("high"))).scalar()
+    low, high = edges["low"], edges["high"]
     cell = F.least(F.lit(bins - 1).cast("long"), F.floor((value - low) / (high - low) * bins))
     counts = values.filter(value.isNotNull()).groupBy(cell.alias("bin")).agg(F.count("*").alias("n"))
     every = values.sparkSession.range(bins).withColumnRenamed("id", "bin")
@@ -109,9 +106,9 @@ def histogram(values: DataFrame, bins: int) -> DataFrame:
 
 
 def cumulative_share(bins: DataFrame) -> DataFrame:
-    """Cumulated per cent per bin. The window runs over the bins, never over the rows."""
+    """Cumulated per cent per bin. The windows run over the bins, never over the rows."""
     upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = bins.agg(F.sum("n")).scalar()
+    total = F.sum("n").over(Window.partitionBy())
     return bins.withColumn("cum_percent", F.sum("n").over(upto) / total * 100.0)
 
 
@@ -131,10 +128,14 @@ def numbered_rows(df: DataFrame, key: str, *order: str, name: str = "at") -> Dat
     offsets = (
         placed.groupBy(key, "part")
         .agg(F.min("place").alias("first"), F.count("*").alias("size"))
-        .select(key, "part", (F.coalesce(F.sum("size").over(earlier), F.lit(0)) - F.col("first")).alias("shift"))
+        .select(
+            F.col(key).alias("of"),
+            F.col("part").alias("in_part"),
+            (F.coalesce(F.sum("size").over(earlier), F.lit(0)) - F.col("first")).alias("shift"),
+        )
     )
-    joined = placed.join(offsets, [key, "part"])
-    return joined.withColumn(name, F.col("place") + F.col("shift")).drop("part", "place", "shift")
+    same = F.col(key).eqNullSafe(F.col("of")) & (F.col("part") == F.col("in_part"))
+    return placed.join(offsets, same).select(*df.columns, (F.col("place") + F.col("shift")).alias(name))
 
 
 def moving_average(

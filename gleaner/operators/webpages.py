@@ -108,6 +108,20 @@ def links(pages: DataFrame, *keep: str, first: int | None = None) -> DataFrame:
     return rows if first is None else rows.filter(F.col("pos") < first)
 
 
+def table_rows(pages: DataFrame, *keep: str, first: int | None = None) -> DataFrame:
+    """(pos, row) per body row of the first table of each page, optionally the first few."""
+    table = H.before(H.nth_block(F.col("html"), "<table[^>]*>", 0), "</table>")
+    body = H.before(H.nth_block(table, "<tbody[^>]*>", 0), "</tbody>")
+    rows = pages.select(*keep, F.posexplode(F.split(body, "<tr[^>]*>")).alias("pos", "row"))
+    numbered = rows.filter("pos > 0").withColumn("pos", F.col("pos") - 1)
+    return numbered if first is None else numbered.filter(F.col("pos") < first)
+
+
+def cell_text(row: Column, column: int) -> Column:
+    """Text of a cell of a table row."""
+    return H.plain_text(H.before(H.nth_block(row, "<t[dh][^>]*>", column), "</t[dh]>"))
+
+
 def flattened_payloads(payloads: DataFrame, key: str = "payload_id") -> DataFrame:
     """One row per nested record; broken payloads and empty record lists give none."""
     records = F.from_json("payload", PAYLOAD).getField("records")

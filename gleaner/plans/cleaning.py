@@ -302,18 +302,28 @@ def parse_amounts(t):
 # -- joins by key ------------------------------------------------------------------------
 
 
-@query(
-    """SELECT string_split(c.cell, ' (')[1] AS login, coalesce(s.score, 0e0) AS score
-       FROM contributors c LEFT JOIN (SELECT login, round_even(avg(stargazers_count), 1) AS score
-                                      FROM repositories GROUP BY login) s ON s.login = string_split(c.cell, ' (')[1]""",
-    views=("contributors", "repositories"),
-)
-def scores_left_default(t):
+SCORES = """SELECT string_split(c.cell, ' (')[1] AS login, coalesce(s.score, 0e0) AS score
+    FROM contributors c LEFT JOIN (SELECT login, round_even(avg(stargazers_count), 1) AS score
+                                   FROM repositories GROUP BY login) s ON s.login = string_split(c.cell, ' (')[1]"""
+
+
+def login_scores(t):
+    """Mean stars per login, 0 for logins without a repository."""
     scores = t["repositories"].groupBy("login").agg(F.bround(F.avg("stargazers_count"), 1).alias("score"))
     logins = t["contributors"].select(strings.login_of(F.col("cell")).alias("login"))
     return logins.join(scores, "login", "left").select("login", F.coalesce("score", F.lit(0.0)).alias("score"))
 
 
+@query(SCORES, views=("contributors", "repositories"))
+def scores_left_default(t):
+    return login_scores(t)
+
+
+@query(SCORES + " ORDER BY score DESC, login LIMIT 5", views=("contributors", "repositories"))
+def top_scores(t):
+    return login_scores(t).orderBy(F.desc("score"), "login").limit(5)
+
+
 @query(
     f"""WITH specialists AS (
             SELECT regexp_extract(zone, '([0-9]{{2,3}}) - (.*)', 1) AS num_dep, CAST(sum(number) AS BIGINT) AS doctors

@@ -149,8 +149,7 @@ def geo_error(t):
 @query(ERRORS + " SELECT round(quantile_cont(error_m, 0.8), 4) AS p80 FROM errors", views=("messages", "positions"))
 def error_p80(t):
     errors = files.staged(estimate_errors(t).select("error_m"), "errors")
-    p80 = ranks.exact_percentile(errors, 0.8)
-    return errors.agg(F.round(F.any_value(F.lit(p80)), 4).alias("p80"))
+    return t.spark.createDataFrame([(round(ranks.exact_percentile(errors, 0.8), 4),)], "p80 double")
 
 
 HISTOGRAM = (
@@ -189,7 +188,7 @@ def error_cdf(t):
 def regression_rmse(t):
     rows = files.staged(station_estimate(t).drop("messid"), "estimates")
     found = located.rmse(rows)
-    return rows.agg(*(F.round(F.any_value(F.lit(value)), 6).alias(f"rmse_{name}") for name, value in found.items()))
+    return t.spark.createDataFrame([(round(found["lat"], 6), round(found["lng"], 6))], "rmse_lat double, rmse_lng double")
 
 
 # -- models -------------------------------------------------------------------------------
@@ -249,7 +248,8 @@ def geo_position_model(t):
 def geo_oof_predictions(t):
     rows = plain_features(t)
     folded = rows.withColumn("fold", ranks.contiguous_folds(rows.select("messid"), FOLDS))
-    by_fold = files.staged(folded, "folds", partition_by="fold")
+    # folds are key ranges: written in key order, each task touches one or two of them
+    by_fold = files.staged(folded.repartitionByRange("messid"), "folds", partition_by="fold")
     return rounded(located.out_of_fold(located.assembled(by_fold, PLAIN_FEATURES), FOLDS))
 
 

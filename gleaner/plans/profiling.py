@@ -64,6 +64,20 @@ def describe_long(t):
     return profile.describe_long(t["events"], ["value"])
 
 
+PREVIEWED = ["p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT p_partkey, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value "
+        "FROM (SELECT * FROM part ORDER BY p_partkey LIMIT 5)"
+        for c in PREVIEWED
+    )
+)
+def preview_long(t):
+    return profile.preview_long(t["part"].select("p_partkey", *PREVIEWED), "p_partkey")
+
+
 @query("SELECT count(*) AS n_rows, 11 AS n_columns FROM lineitem")
 def shape(t):
     return profile.shape(t["lineitem"])

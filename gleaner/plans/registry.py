@@ -18,6 +18,8 @@ def query(sql: str | None = None, views: tuple[str, ...] = ()):
 
     def register(build: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # epoch texts and calendar days are defined in UTC, whatever the caller's session says
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return build(Tables(spark, sf_dir))
 
         run.__doc__ = build.__doc__

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import html as H
 from gleaner.functions.numbers import marked_down_price, shop_price
+from gleaner.functions.strings import login_of
 from gleaner.operators import webpages
 from gleaner.plans.registry import query
 
@@ -48,6 +49,18 @@ def links_by_host(t):
     return per_page.groupBy("host").agg(F.sum("n").alias("n_links"), F.count("*").alias("n_pages"))
 
 
+@query(
+    """SELECT page_id, 0 AS pos, split_part(regexp_extract(html, '<tbody><tr><td>([^<]*)', 1), ' (', 1) AS login,
+              split_part(regexp_extract(html, '<a href="/c">([^<]*)', 1), ' (', 1) AS city FROM ranking_pages
+       UNION ALL SELECT page_id, 1, concat('next', page_id), 'Town' FROM ranking_pages""",
+    views=("ranking_pages",),
+)
+def table_cells(t):
+    rows = webpages.table_rows(t.spread("ranking_pages", "page_id"), "page_id", first=2)
+    login, city = (login_of(webpages.cell_text(F.col("row"), n)) for n in (0, 1))
+    return rows.select("page_id", "pos", login.alias("login"), city.alias("city"))
+
+
 PRICES = """WITH found AS (SELECT offer_id, brand,
         list_transform(regexp_extract_all(html, 'class="price">([^<]*)<', 1),
                        lambda x: CAST(replace(x, '€', '.') AS DOUBLE)) AS prices,

@@ -112,6 +112,15 @@ VIEWS = {
                       '<div class="module"><table><tr><td>Owned</td><td class="data">', CAST(p_size AS STRING),
                       '.57%</td></tr></table></div></div>') AS html
         FROM $part""",
+    # pages whose first table lists "login (Full Name)" and a linked "City (code)" per row
+    "ranking_pages": """
+        SELECT c_custkey AS page_id,
+               concat('<p>Top</p><table class="top"><thead><tr><th>User</th><th>City</th></tr></thead><tbody>',
+                      '<tr><td>user', c_custkey, ' (', c_name, ')</td><td><a href="/c">City ', c_nationkey, ' (', c_custkey % 95, ')</a></td></tr>',
+                      '<tr class="odd"><td><b>next', c_custkey, '</b> (X &amp; Y)</td><td><a href="/d">Town (7)</a></td></tr>',
+                      '<tr><td>alone</td><td></td></tr>',
+                      '</tbody></table><table><tbody><tr><td>other (no)</td><td>z</td></tr></tbody></table>') AS html
+        FROM $customer""",
     # nested service answers; some broken, some without records
     "payloads": """
         SELECT p_partkey AS payload_id,
