@@ -13,6 +13,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def tag(name: str) -> str:
+    """Pattern of an opening tag."""
+    return rf"<{name}(?:\s[^>]*)?>"
+
+
 def class_tag(name: str, tag: str = "[a-zA-Z0-9]+") -> str:
     """Pattern of an opening tag that carries the class ``name``, alone or among others."""
     return rf'<{tag}(?:\s[^>]*)?\sclass="(?:[^"]*\s)?{re.escape(name)}(?:\s[^"]*)?"[^>]*>'

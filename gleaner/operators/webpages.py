@@ -63,7 +63,7 @@ def company_records(pages: DataFrame, key: str = "page_id") -> DataFrame:
     per page on the shortest source that holds what it looks for.
     """
     # fixed values: positions of the modules, rows and cells on the page
-    module, row, span = H.class_tag("module", "div"), r"<tr[^>]*>", r"<span[^>]*>"
+    module, row, span = H.class_tag("module", "div"), H.tag("tr"), H.tag("span")
     left = H.nth_block(F.col("html"), H.class_tag("column1"), 0)
     right = H.nth_block(F.col("html"), H.class_tag("column2"), 0)
     parts = pages.select(
@@ -110,16 +110,16 @@ def links(pages: DataFrame, *keep: str, first: int | None = None) -> DataFrame:
 
 def table_rows(pages: DataFrame, *keep: str, first: int | None = None) -> DataFrame:
     """(pos, row) per body row of the first table of each page, optionally the first few."""
-    table = H.before(H.nth_block(F.col("html"), "<table[^>]*>", 0), "</table>")
-    body = H.before(H.nth_block(table, "<tbody[^>]*>", 0), "</tbody>")
-    rows = pages.select(*keep, F.posexplode(F.split(body, "<tr[^>]*>")).alias("pos", "row"))
+    table = H.before(H.nth_block(F.col("html"), H.tag("table"), 0), "</table>")
+    body = H.before(H.nth_block(table, H.tag("tbody"), 0), "</tbody>")
+    rows = pages.select(*keep, F.posexplode(F.split(body, H.tag("tr"))).alias("pos", "row"))
     numbered = rows.filter("pos > 0").withColumn("pos", F.col("pos") - 1)
     return numbered if first is None else numbered.filter(F.col("pos") < first)
 
 
 def cell_text(row: Column, column: int) -> Column:
     """Text of a cell of a table row."""
-    return H.plain_text(H.before(H.nth_block(row, "<t[dh][^>]*>", column), "</t[dh]>"))
+    return H.plain_text(H.before(H.nth_block(row, H.tag("t[dh]"), column), "</t[dh]>"))
 
 
 def flattened_payloads(payloads: DataFrame, key: str = "payload_id") -> DataFrame:
