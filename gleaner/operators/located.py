@@ -15,6 +15,8 @@ from gleaner.functions.geodesy import distance_km
 
 # attributes of a message at a station, in the order of the matrix columns
 ATTRIBUTES = ("nseq", "rssi", "time_ux", "lat", "lng", "bs_lat", "bs_lng", "distance")
+# ridge for rank-deficient station matrices
+TINY_RIDGE = 1e-8
 # those a model may see: without the truth and what is computed from it
 MODEL_ATTRIBUTES = ("nseq", "rssi", "time_ux", "bs_lat", "bs_lng")
 
@@ -104,11 +106,17 @@ def assembled(matrix: DataFrame, names: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=names, outputCol="features").transform(matrix)
 
 
-def fit_positions(train: DataFrame):
-    """Least squares for latitude and longitude on the ``features`` column."""
+def fit_positions(train: DataFrame, ridge: float = 0.0):
+    """Least squares for latitude and longitude on the ``features`` column, by one pass of
+    normal equations each.
+
+    Station matrices are rank-deficient (a station's coordinates are multiples of its being
+    heard). There a tiny ``ridge`` selects, up to rounding, the solution of least norm; without
+    it the normal equations have no unique solution and an iterative solver takes over.
+    """
     return {
         target: LinearRegression(
-            featuresCol="features", labelCol=target, predictionCol=f"pred_{target}", solver="normal"
+            featuresCol="features", labelCol=target, predictionCol=f"pred_{target}", solver="normal", regParam=ridge
         ).fit(train)
         for target in ("lat", "lng")
     }
@@ -119,12 +127,12 @@ def predict_positions(models, rows: DataFrame) -> DataFrame:
     return models["lng"].transform(models["lat"].transform(rows))
 
 
-def out_of_fold(rows: DataFrame, folds: int) -> DataFrame:
+def out_of_fold(rows: DataFrame, folds: int, ridge: float = 0.0) -> DataFrame:
     """Predict every fold by a model fitted on the others. ``rows`` is staged by fold, so
     each scan reads only the folds it needs."""
     parts = []
     for fold in range(folds):
-        models = fit_positions(rows.filter(F.col("fold") != fold))
+        models = fit_positions(rows.filter(F.col("fold") != fold), ridge)
         parts.append(predict_positions(models, rows.filter(F.col("fold") == fold)))
     return reduce(DataFrame.unionByName, parts)
 

@@ -71,6 +71,23 @@ def test_least_squares(spark):
     assert [got[n] for n in range(len(x))] == pytest.approx(list(expected), abs=1e-6)
 
 
+def test_rank_deficient_matrix(spark):
+    """Columns that are multiples of each other, as station coordinates are."""
+    rng = np.random.default_rng(2)
+    heard = rng.integers(0, 2, size=(80, 3)).astype(float)
+    design = np.column_stack([heard, heard * [40.0, 40.1, 40.2], heard * [-105.0, -104.9, -104.8]])
+    lat = 40 + heard @ [0.1, -0.2, 0.3] + rng.normal(scale=0.01, size=80)
+    names = [f"x{n}" for n in range(9)]
+    rows = [(n, *map(float, row), float(y), float(y)) for n, (row, y) in enumerate(zip(design, lat))]
+    df = spark.createDataFrame(rows, ["messid", *names, "lat", "lng"])
+    vectors = located.assembled(df, names)
+    models = located.fit_positions(vectors, located.TINY_RIDGE)
+    got = {r["messid"]: r["pred_lat"] for r in located.predict_positions(models, vectors).collect()}
+    full = np.column_stack([np.ones(80), design])
+    expected = full @ (np.linalg.pinv(full) @ lat)
+    assert [got[n] for n in range(80)] == pytest.approx(list(expected), abs=1e-4)
+
+
 def test_out_of_fold_covers_every_key_once(spark):
     df, _, _ = regression_rows(spark)
     rows = located.assembled(df.withColumn("fold", (F.col("messid") / 20).cast("int")), ["x1", "x2"])
