@@ -30,6 +30,7 @@ REGULARISATION = (10e-8,)
 MIN_DOCUMENTS = (55.0, 75.0, 95.0)
 TRAIN_RATIO = 0.7
 # fixed values of the multi-class tree
+COMPONENTS = (3, 10, 20, 30)
 TREE = {"maxDepth": 30, "maxBins": 45, "impurity": "entropy"}
 
 
@@ -136,7 +137,7 @@ def f1_evaluator(label: str, prediction: str = "predictions", metric: str = "f1"
 
 def tuned_text_classifier(
     label: str, numeric: list[str], categories: list[str], seed: int, max_iter: int = MAX_ITERATIONS,
-    regularisation=REGULARISATION, min_documents=MIN_DOCUMENTS,
+    regularisation=REGULARISATION, min_documents=MIN_DOCUMENTS, parallelism: int = 2,
 ) -> TrainValidationSplit:
     """Grid over regularisation and vocabulary threshold, best weighted f1 on the held-out 30 %."""
     classifier, counts, regression = text_classifier(label, numeric, categories, max_iter)
@@ -147,7 +148,8 @@ def tuned_text_classifier(
         .build()
     )
     return TrainValidationSplit(
-        estimator=classifier, evaluator=f1_evaluator(label), estimatorParamMaps=grid, trainRatio=TRAIN_RATIO, seed=seed
+        estimator=classifier, evaluator=f1_evaluator(label), estimatorParamMaps=grid, trainRatio=TRAIN_RATIO, seed=seed,
+        parallelism=parallelism,
     )
 
 
@@ -164,6 +166,12 @@ def random_forest(label: str, features: str = "features", seed: int = 100, **par
     return RandomForestClassifier(labelCol=label, featuresCol=features, seed=seed, **params)
 
 
+def component_tree(label: str, **params) -> tuple[Pipeline, PCA]:
+    """Tree on principal components, and the stage whose ``k`` is tuned."""
+    components = PCA(k=COMPONENTS[0], inputCol="features", outputCol="components")
+    return Pipeline(stages=[components, decision_tree(label, "components", **params)]), components
+
+
 def cross_validated(estimator, grid, evaluator, folds: int, seed: int) -> CrossValidator:
     return CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, seed=seed)
 
@@ -186,8 +194,12 @@ def metrics(df: DataFrame, label: str, prediction: str, names=("f1", "accuracy")
 
 
 def chosen_params(spark, model, scores) -> DataFrame:
-    """(param, value) of the best model's last stage, and the score of every candidate."""
-    last = model.bestModel.stages[-1] if hasattr(model.bestModel, "stages") else model.bestModel
-    rows = [(param.name, str(value)) for param, value in last.extractParamMap().items()]
+    """(param, value) of every stage of the best model, and the score of every candidate."""
+    stages = getattr(model.bestModel, "stages", [model.bestModel])
+    rows = [
+        (f"{type(stage).__name__}.{param.name}", str(value))
+        for stage in stages
+        for param, value in stage.extractParamMap().items()
+    ]
     rows += [(f"score_{n}", f"{score:.6f}") for n, score in enumerate(scores)]
     return spark.createDataFrame(sorted(rows), "param string, value string")

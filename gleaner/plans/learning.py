@@ -220,9 +220,10 @@ def pca_project(t):
 
 @query()
 def cv_best_params(t):
-    tree = learn.decision_tree("label", maxDepth=5)
-    grid = ParamGridBuilder().addGrid(tree.maxBins, [10, 32]).build()
+    """How many principal components serve a tree best, by three-fold cross-validation."""
+    estimator, components = learn.component_tree("label", maxDepth=5)
+    grid = ParamGridBuilder().addGrid(components.k, list(learn.COMPONENTS)).build()
     evaluator = learn.f1_evaluator("label", "prediction", "accuracy")
     train, _ = prepare.split_rows(vectors(t), "vec_id", 0.7, seed=100)
-    model = learn.cross_validated(tree, grid, evaluator, folds=3, seed=100).fit(train)
+    model = learn.cross_validated(estimator, grid, evaluator, folds=3, seed=100).fit(train)
     return learn.chosen_params(t.spark, model, model.avgMetrics)

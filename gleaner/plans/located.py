@@ -9,8 +9,9 @@ from gleaner.plans.registry import query
 from gleaner.sources import files
 
 STATIONS = range(12)  # the view numbers its stations so
+# fixed values of the validation
 FOLDS = 10
-BINS = 1000
+BINS = 50_000
 
 LOCATED = "SELECT m.*, p.lat, p.lng FROM messages m JOIN positions p ON m.row_key = p.row_key"
 
@@ -162,22 +163,23 @@ HISTOGRAM = (
 )
 
 
-@query(HISTOGRAM + " SELECT bin, round(bin_start, 4) AS bin_start, n FROM bins", views=("messages", "positions"))
+@query(HISTOGRAM + " SELECT bin, round(bin_start, 6) AS bin_start, n FROM bins", views=("messages", "positions"))
 def error_histogram(t):
     errors = files.staged(estimate_errors(t).select("error_m"), "errors")
-    return ranks.histogram(errors, BINS).withColumn("bin_start", F.round("bin_start", 4))
+    return ranks.histogram(errors, BINS).withColumn("bin_start", F.round("bin_start", 6))
 
 
 @query(
     HISTOGRAM
-    + """ SELECT bin, round(sum(n) OVER (ORDER BY bin ROWS UNBOUNDED PRECEDING) / (SELECT sum(n) FROM bins) * 1e2, 6)
+    + """ SELECT bin, round(bin_start / 1e3, 9) AS km, round(sum(n) OVER (ORDER BY bin ROWS UNBOUNDED PRECEDING) / (SELECT sum(n) FROM bins) * 1e2, 6)
                  AS cum_percent FROM bins""",
     views=("messages", "positions"),
 )
 def error_cdf(t):
     errors = files.staged(estimate_errors(t).select("error_m"), "errors")
     shares = ranks.cumulative_share(ranks.histogram(errors, BINS))
-    return shares.select("bin", F.round("cum_percent", 6).alias("cum_percent"))
+    km = F.round(F.col("bin_start") / 1000.0, 9)
+    return shares.select("bin", km.alias("km"), F.round("cum_percent", 6).alias("cum_percent"))
 
 
 @query(
@@ -215,7 +217,7 @@ def least_squares_sql(target: str) -> str:
     return f"{b1} AS {target}1, {b2} AS {target}2, avg({target}) - avg(x1) * {b1} - avg(x2) * {b2} AS {target}0"
 
 
-PREDICTED = ", ".join(f"round({y}0 + {y}1 * x1 + {y}2 * x2, 5) AS pred_{y}" for y in ("lat", "lng"))
+PREDICTED = ", ".join(f"round({y}0 + {y}1 * x1 + {y}2 * x2, 4) AS pred_{y}" for y in ("lat", "lng"))
 FITS = ", ".join(least_squares_sql(y) for y in ("lat", "lng"))
 
 
@@ -227,7 +229,7 @@ def plain_features(t):
 
 
 def rounded(predictions):
-    return predictions.select("messid", *(F.round(f"pred_{y}", 5).alias(f"pred_{y}") for y in ("lat", "lng")))
+    return predictions.select("messid", *(F.round(f"pred_{y}", 4).alias(f"pred_{y}") for y in ("lat", "lng")))
 
 
 @query(

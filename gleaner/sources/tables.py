@@ -86,10 +86,11 @@ VIEWS = {
     # "login (Full Name)" cells
     "contributors": """
         SELECT c_custkey, concat('user', c_custkey, ' (', c_name, ' | ', c_mktsegment, ')') AS cell FROM $customer""",
-    # repositories per login; some logins have none
+    # repositories per login; every other login has none
     "repositories": """
-        SELECT o_orderkey AS repo_id, concat('user', o_custkey) AS login, o_orderkey % 57 AS stargazers_count
-        FROM $orders WHERE o_custkey % 10 <> 3""",
+        SELECT o_orderkey AS repo_id, concat('user', o_custkey + o_custkey % 2) AS login,
+               o_orderkey % 57 AS stargazers_count
+        FROM $orders""",
     # financial pages with nested blocks; every 17th page lacks its last module
     "company_pages": """
         SELECT p_partkey AS page_id,

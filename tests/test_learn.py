@@ -61,7 +61,8 @@ def test_tuning(spark):
     tuner = learn.tuned_text_classifier("label", ["size"], ["lang"], 1, max_iter=5, min_documents=(2.0, 40.0))
     tuned = learn.fit_on_text(tuner, df).stages[-1]
     params = {r["param"]: r["value"] for r in learn.chosen_params(spark, tuned, tuned.validationMetrics).collect()}
-    assert params["regParam"] == "1e-07" and params["maxIter"] == "5"
+    assert params["LogisticRegressionModel.regParam"] == "1e-07" and params["LogisticRegressionModel.maxIter"] == "5"
+    assert params["CountVectorizerModel.minDF"] == "2.0"
     assert float(params["score_0"]) == 1.0 > float(params["score_1"])
 
 
@@ -80,6 +81,16 @@ def test_trees(spark):
     assert accuracy.evaluate(learn.random_forest("label", numTrees=5).fit(df).transform(df)) > 0.9
 
 
+def test_components_are_tuned(spark):
+    df = blobs(spark)
+    estimator, components = learn.component_tree("label", maxDepth=3)
+    grid = learn.ParamGridBuilder().addGrid(components.k, [1, 2]).build()
+    evaluator = learn.f1_evaluator("label", "prediction", "accuracy")
+    model = learn.cross_validated(estimator, grid, evaluator, folds=3, seed=1).fit(df)
+    params = {r["param"]: r["value"] for r in learn.chosen_params(spark, model, model.avgMetrics).collect()}
+    assert params["PCAModel.k"] in ("1", "2") and float(params["score_0"]) > 0.9
+
+
 def test_metrics_by_hand(spark):
     pairs = [(1.0, 1.0)] * 3 + [(1.0, 0.0)] + [(0.0, 0.0)] * 4 + [(0.0, 1.0)] * 2
     df = spark.createDataFrame(pairs, "label double, predictions double")

@@ -123,11 +123,11 @@ def test_json_fixture(spark):
 
     answer = {
         "nhits": 1, "parameters": {},
-        "records": [{"recordid": "r", "fields": {"nombre_de_reservations": 1094, "auteur": "Enders, Giulia"}, "record_timestamp": "t"}],
+        "records": [{"recordid": "r", "fields": {"nombre_de_reservations": 1094, "auteur": "Author, A"}, "record_timestamp": "t"}],
     }
     given = [(1, json.dumps(answer)), (2, '{"records": []}'), (3, '{"records": ['), (4, "{}"), (5, None)]
     df = spark.createDataFrame(given, "payload_id int, payload string")
-    assert [tuple(r) for r in flattened_payloads(df).collect()] == [(1, 1094, "Enders, Giulia", "t")]
+    assert [tuple(r) for r in flattened_payloads(df).collect()] == [(1, 1094, "Author, A", "t")]
 
 
 def test_pages_fixture(spark):
