@@ -6,12 +6,14 @@ from functools import reduce
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleaner.functions.geodesy import distance_km
+from gleaner.sources.files import staged
 
 # attributes of a message at a station, in the order of the matrix columns
 ATTRIBUTES = ("nseq", "rssi", "time_ux", "lat", "lng", "bs_lat", "bs_lng", "distance")
@@ -84,22 +86,25 @@ def sparse_features(located: DataFrame, heard: DataFrame, attributes=MODEL_ATTRI
     """The same matrix as one sparse vector per message, for any number of stations.
 
     ``heard`` is the result of :func:`stations`. Stations are numbered by a join instead of
-    being listed in the plan; a message's group holds at most one row per station.
+    being listed in the plan; a message's group holds at most one row per station. The
+    vectors are written in the stored form of the vector type and read back as vectors, so
+    no row leaves the JVM.
     """
+    width = len(attributes)
     # the window runs over the station table, one row per station
     numbered = heard.select("bsid", (F.row_number().over(Window.orderBy("bsid")) - 1).alias("slot"))
-    width = len(attributes)
-    size = numbered.count() * width
-
-    @F.udf(VectorUDT())
-    def vector(entries):
-        return Vectors.sparse(size, [(e.slot * width + n, v) for e in entries for n, v in enumerate(e.cells) if v])
-
     entry = F.struct("slot", F.array(*attributes).alias("cells"))
     rows = last_per_station(located, attributes).join(numbered, "bsid")
-    return rows.groupBy("messid").agg(F.collect_list(entry).alias("entries")).select(
-        "messid", vector("entries").alias("features")
+    entries = rows.groupBy("messid").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    places = F.transform("entries", lambda e: F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda n: e["slot"] * width + n))
+    stored = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(heard.count() * width).alias("size"),
+        F.flatten(places).alias("indices"),
+        F.flatten(F.transform("entries", lambda e: e["cells"])).alias("values"),
     )
+    vectors = T.StructType([located.schema["messid"], T.StructField("features", VectorUDT())])
+    return staged(entries.select("messid", stored.alias("features")), "sparse", schema=vectors)
 
 
 def assembled(matrix: DataFrame, names: list[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gleaner.operators import located, ranks
+from gleaner.operators import located, prepare, ranks
 from gleaner.plans.registry import query
 from gleaner.sources import files
 
@@ -255,6 +255,31 @@ def geo_oof_predictions(t):
     return rounded(located.out_of_fold(located.assembled(by_fold, PLAIN_FEATURES), FOLDS))
 
 
+@query(
+    f"""WITH rows AS (SELECT *, substr(md5(concat('100:', messid)), 1, 8) < 'b3333333' AS train FROM ({FEATURES})),
+        fit AS (SELECT {FITS} FROM rows WHERE train)
+        SELECT messid, {PREDICTED} FROM rows, fit WHERE NOT train""",
+    views=("messages", "positions"),
+)
+def geo_submission(t):
+    """Fit on one part of the messages, place the others, write their positions as CSV."""
+    train, test = prepare.split_rows(located.assembled(plain_features(t), PLAIN_FEATURES), "messid", 0.7, seed=100)
+    placed = rounded(located.predict_positions(located.fit_positions(train), test))
+    path = files.scratch_dir(t.spark, "positions")
+    files.write_csv(placed, path)
+    return files.read_csv(t.spark, path, schema="messid long, pred_lat double, pred_lng double")
+
+
+@query()
+def geo_sparse_model(t):
+    """The same as :func:`geo_matrix_model` for networks too large for one column per station."""
+    rows = located_messages(t)
+    vectors = located.sparse_features(rows, located.stations(t["messages"])).join(located.ground_truth(rows), "messid")
+    table = files.staged(vectors, "vectors")
+    models = located.fit_positions(table, located.TINY_RIDGE)
+    return located.distance_errors(located.predict_positions(models, table), "messid")
+
+
 @query()
 def geo_matrix_model(t):
     """Positions from the whole matrix, without the truth among the features."""

@@ -22,15 +22,17 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` once and read it back.
+def staged(
+    df: DataFrame, label: str, partition_by: str | None = None, schema: T.StructType | None = None
+) -> DataFrame:
+    """Write ``df`` once and read it back, under another ``schema`` if one is given.
 
     Cuts the lineage where several passes follow, survives lost executors, and lets the
     later passes prune columns and push filters into the scan.
     """
     path = scratch_dir(df.sparkSession, label)
     write_parquet(df, path, partition_by)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) -> None:

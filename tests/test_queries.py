@@ -14,7 +14,7 @@ def duck():
 
 
 # distances iterate on Arrow batches; everything else stays in the JVM
-ARROW = {"geo_feature_matrix", "geo_error", "pairwise_distance", "geo_matrix_model"}
+ARROW = {"geo_feature_matrix", "geo_error", "pairwise_distance", "geo_matrix_model", "geo_sparse_model"}
 
 
 def plan_of(df):
@@ -44,6 +44,14 @@ def test_registry():
     assert set(registered.oracle_sql()) <= set(registered.queries())
 
 
+def test_wide_and_sparse_models_agree(spark):
+    errors = [
+        {r["messid"]: r["error_m"] for r in registered.queries()[name](spark, SF).collect()}
+        for name in ("geo_matrix_model", "geo_sparse_model")
+    ]
+    assert errors[0] == pytest.approx(errors[1], rel=1e-3, abs=1.0)
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     text = plan(spark, "filter_range")
     assert "GreaterThanOrEqual(value,5" in text and "ReadSchema: struct<event_id:bigint,value:double>" in text
