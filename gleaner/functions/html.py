@@ -20,7 +20,7 @@ def tag(name: str) -> str:
 
 def class_tag(name: str, tag: str = "[a-zA-Z0-9]+") -> str:
     """Pattern of an opening tag that carries the class ``name``, alone or among others."""
-    return rf'<{tag}(?:\s[^>]*)?\sclass="(?:[^"]*\s)?{re.escape(name)}(?:\s[^"]*)?"[^>]*>'
+    return rf'<{tag}\s(?:[^>]*?\s)?class="(?:[^"]*?\s)?{re.escape(name)}(?:\s[^"]*)?"[^>]*>'
 
 
 def plain_text(fragment: Column) -> Column:
