@@ -35,7 +35,7 @@ THRESHOLDS = (
     Rule("symbols_per_word", high=0.1),
     Rule("stop_word_ratio", low=0.02),
     Rule("shouting_ratio", high=0.3),
-    Rule("dup_line_ratio", high=0.3),
+    Rule("dup_line_ratio", high=0.5),
     Rule("piped_line_ratio", high=0.3),
     Rule("repeat_ratio", high=0.2),
 )
