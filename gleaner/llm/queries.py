@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gleaner.llm import rules, urls
+from gleaner.llm import bpe, rules, urls
 
 QUERIES = {}
 ORACLES = {}
@@ -30,6 +31,16 @@ def quoted(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
+@query()
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    digits = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(digits, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def url_sql() -> str:
     vocabulary = urls.Vocabulary()
     edged = lambda t: f"regexp_matches(low, '(^|[^a-z0-9]){t}($|[^a-z0-9])')::INT"
