@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, rules, urls
+from gleaner.llm import bpe, lines, rules, urls
 
 QUERIES = {}
 ORACLES = {}
@@ -71,6 +71,41 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def lines_sql() -> str:
+    t = lines.MIN_LINES
+    return f"""
+    WITH split AS (
+        SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS x FROM documents),
+    numbered AS (
+        SELECT doc_id, unnest(x) AS line, unnest(range(len(x))) AS p FROM split),
+    worded AS (
+        SELECT doc_id, p, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line
+        FROM numbered WHERE regexp_matches(line, '{WORD}')),
+    ordered AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p) - 1 AS s FROM worded),
+    runs AS (
+        SELECT doc_id, s, p AS a, lead(p, {t - 1}) OVER d AS b, count(*) OVER (d ROWS BETWEEN CURRENT ROW AND {t - 1} FOLLOWING) AS n,
+               string_agg(line, chr(10)) OVER (d ROWS BETWEEN CURRENT ROW AND {t - 1} FOLLOWING) AS run
+        FROM ordered WINDOW d AS (PARTITION BY doc_id ORDER BY s)),
+    later AS (
+        SELECT doc_id, a, b FROM (
+            SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, s) AS k FROM runs WHERE n = {t}) WHERE k > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS p FROM later),
+    flagged AS (
+        SELECT n.doc_id, n.p, n.line, w.p IS NOT NULL AS has_word, g.p IS NOT NULL AS out
+        FROM numbered n LEFT JOIN gone g ON n.doc_id = g.doc_id AND n.p = g.p
+        LEFT JOIN worded w ON n.doc_id = w.doc_id AND n.p = w.p)
+    SELECT doc_id, count(*) FILTER (has_word)::BIGINT AS n_lines, count(*) FILTER (has_word AND out)::BIGINT AS n_removed,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT out), '')) AS kept_sha256
+    FROM flagged GROUP BY doc_id"""
+
+
+@query(lines_sql())
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = lines.marked(table(spark, sf_dir, "documents")).select("doc_id", "line_dedup.*")
+    kept = F.sha2(F.coalesce("kept", F.lit("")), 256)
+    return df.select("doc_id", "n_lines", "n_removed", kept.alias("kept_sha256"))
+
+
 def rules_sql() -> str:
     measure = {
         "mean_word_chars": "word_chars / nullif(n_words, 0)",
