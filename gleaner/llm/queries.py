@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, lines, rules, urls
+from gleaner.llm import bpe, lines, neardup, rules, urls
 
 QUERIES = {}
 ORACLES = {}
@@ -153,3 +153,32 @@ def rules_sql() -> str:
 @query(rules_sql())
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
+
+
+NEARDUP_SQL = f"""
+    WITH RECURSIVE low AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w
+        FROM documents),
+    shingles AS (
+        SELECT DISTINCT doc_id, s FROM (
+            SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS s FROM low WHERE len(w) > 1
+            UNION ALL SELECT doc_id, w[1] FROM low WHERE len(w) = 1)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    shared AS (
+        SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common
+        FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (
+        SELECT u, v FROM shared JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v
+        WHERE 100 * common >= 80 * (x.n + y.n - common)),
+    ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+    reach AS (SELECT u AS node, u AS seen FROM ways UNION SELECT r.node, w.v FROM reach r JOIN ways w ON r.seen = w.u),
+    least AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
+    SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component, d.doc_id) AS component_id,
+           coalesce(component, d.doc_id) = d.doc_id AS kept
+    FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least ON node = d.doc_id"""
+
+
+@query(NEARDUP_SQL)
+def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.grouped(table(spark, sf_dir, "documents"))
