@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.llm.components import components
-from gleaner.llm.text import ascii_lower, hashes, ragged, spread, windows, words
+from gleaner.llm.text import ascii_lower, hashes, ragged, small_batches, spread, windows, words
 from gleaner.sources.files import staged
 
 CHUNKS, WIDTH, ERRORS = 10, 5, 1
@@ -284,6 +284,7 @@ def grouped(
     rows are kept, with their own id. Rows of one id and one text share their result; where one id
     leads two classes of texts, it stands for both. ``percent`` under 70 needs a larger DISTANCE.
     """
+    small_batches(docs.sparkSession)
     sketches = sketched(docs, size, id_col, text_col)
     linked = sketches.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
     classes = linked.groupBy("digest").agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, lines, neardup, rules, urls
+from gleaner.llm import bpe, decontam, lines, neardup, rules, urls
 
 QUERIES = {}
 ORACLES = {}
@@ -182,3 +182,8 @@ NEARDUP_SQL = f"""
 @query(NEARDUP_SQL)
 def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.grouped(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

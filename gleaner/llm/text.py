@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import zstandard
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -65,3 +66,28 @@ def unpack(blob: bytes, dtype) -> np.ndarray:
     size = np.dtype(dtype).itemsize
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
     return np.ascontiguousarray(raw.reshape(size, -1).T).reshape(-1).view(dtype)
+
+
+def pack_words(strings: pa.Array) -> bytes:
+    """Strings as their packed lengths and their compressed bytes."""
+    strings = pa.concat_arrays([strings.cast(pa.string())])
+    _, offsets, data = strings.buffers()
+    ends = np.frombuffer(offsets, np.int32)[strings.offset : strings.offset + len(strings) + 1]
+    body = bytes(data[int(ends[0]) : int(ends[-1])]) if len(strings) else b""
+    lengths = pack(np.diff(ends).astype(np.int32))
+    return len(lengths).to_bytes(8, "little") + lengths + zstandard.ZstdCompressor(level=3).compress(body)
+
+
+def unpack_words(blob: bytes) -> pa.Array:
+    cut = 8 + int.from_bytes(blob[:8], "little")
+    lengths = unpack(blob[8:cut], np.int32)
+    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    body = zstandard.ZstdDecompressor().decompress(blob[cut:])
+    return pa.Array.from_buffers(pa.string(), len(lengths), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(body)])
+
+
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Texts are long: pass them to Python in batches of fewer rows than the usual 10 000."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= rows:
+        spark.conf.set(name, str(rows))
