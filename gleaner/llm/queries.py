@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, decontam, lines, neardup, rules, urls
+from gleaner.llm import bpe, classifier, decontam, lines, neardup, rules, urls
 
 QUERIES = {}
 ORACLES = {}
@@ -187,3 +187,9 @@ def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return classifier.fit(docs).judge(docs)
