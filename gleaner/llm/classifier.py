@@ -24,9 +24,13 @@ from gleaner.llm.text import words
 BAD, NONE, GOOD = 0, 1, 2
 #: Expected number of texts that the regression is trained on; EM counts all texts.
 SAMPLE = 20_000
+#: Times that a blank shape is added to each text: the fewer its words, the more it pulls to the prior.
+BLANKS = 10
 #: Hash buckets of word shapes; distinct shapes are far fewer than words.
 FEATURES = 1 << 12
 ROUNDS = 100
+#: Smallest score that is kept. Below a half, since losing a good text costs more than a bad one.
+KEEP = 0.35
 
 
 def measured(df: DataFrame) -> DataFrame:
@@ -43,6 +47,7 @@ def measured(df: DataFrame) -> DataFrame:
         F.try_divide(F.size(F.filter("words", lambda w: F.lower(w).isin(STOP_WORDS))), n).alias("stops"),
         F.try_divide(letters, n).alias("word_length"),
         F.try_divide(F.size(again), n).alias("again"),
+        F.when(n >= 8, F.size(F.array_distinct("words")) / F.sqrt(n)).alias("variety"),
         F.try_divide(F.size(F.filter("lines", lambda x: x.contains("|"))), m).alias("piped"),
         F.try_divide(F.size(F.array_distinct("lines")), m).alias("distinct_lines"),
         F.try_divide(F.size(F.filter("lines", lambda x: x.rlike(r"""[.!?…]["')]*\s*$"""))), m).alias("closed"),
@@ -71,6 +76,7 @@ LABELLERS = (
     Labeller("stops", (0.01, 0.9), (0.05, 0.7)),
     Labeller("word_length", (2.0, 14.0), (3.0, 9.0)),
     Labeller("again", (0.0, 0.2), (0.0, 0.03)),
+    Labeller("variety", (1.5, 1e9), (2.0, 1e9)),
     Labeller("piped", (0.0, 0.3), (0.0, 0.0)),
     Labeller("distinct_lines", (0.4, 1.0), (0.8, 1.0)),
     Labeller("closed", (0.0, 1.0), (0.5, 1.0)),
@@ -113,11 +119,11 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) ->
 
 def shapes(text: Column) -> Column:
     """Words with runs of capitals as A, of other letters as a, of digits as 0; ``=`` for each
-    word that repeats the one before."""
+    word that repeats the one before; ``BLANKS`` empty strings."""
     plain = words(text)
     out = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"\p{Lu}+", "A"), r"\p{Ll}+", "a"), r"\p{N}+", "0")
     again = F.transform(F.filter(F.arrays_zip(plain.alias("a"), F.slice(plain, 2, 2**30).alias("b")), lambda x: x["a"] == x["b"]), lambda _: F.lit("="))
-    return F.concat(words(out), again)
+    return F.concat(words(out), again, F.array_repeat(F.lit(""), BLANKS))
 
 
 @dataclass
@@ -126,14 +132,14 @@ class Classifier:
     scorer: PipelineModel
 
     def judge(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """doc_id, score (probability of good), kept (score at least a half) of every row.
+        """doc_id, score (probability of good), kept (score at least ``KEEP``) of every row.
 
         A text without words, null included, scores 0.
         """
         df = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
         df = self.scorer.transform(df.select("doc_id", shapes(F.col("text")).alias("shapes")))
-        score = F.when(F.size("shapes") > 0, vector_to_array("probability")[1]).otherwise(0.0)
-        return df.select("doc_id", score.alias("score")).withColumn("kept", F.col("score") >= 0.5)
+        score = F.when(F.size("shapes") > BLANKS, vector_to_array("probability")[1]).otherwise(0.0)
+        return df.select("doc_id", score.alias("score")).withColumn("kept", F.col("score") >= KEEP)
 
 
 def voted(df: DataFrame) -> DataFrame:
@@ -182,4 +188,4 @@ def filtered(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text
     model = fit(docs, sample, id_col, text_col)
     shaped = docs.select(F.struct("*").alias("row"), shapes(F.coalesce(F.col(text_col), F.lit(""))).alias("shapes"))
     scored = model.scorer.transform(shaped)
-    return scored.filter((F.size("shapes") > 0) & (vector_to_array("probability")[1] >= 0.5)).select("row.*")
+    return scored.filter((F.size("shapes") > BLANKS) & (vector_to_array("probability")[1] >= KEEP)).select("row.*")
