@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, classifier, decontam, lines, neardup, rules, urls
+from gleaner.llm import bpe, classifier, decontam, lines, neardup, rules, urls, warc
+from gleaner.sources.files import scratch_dir
 
 QUERIES = {}
 ORACLES = {}
@@ -193,3 +194,17 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return classifier.fit(docs).judge(docs)
+
+
+@query(f"""
+    WITH p AS (
+        SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+               min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+    SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
+           CASE WHEN payload_bytes >= {warc.REVISIT_BYTES} AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= {warc.REVISIT_BYTES} AND page_id <> first THEN first END AS refers_to
+    FROM p""")
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write(table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
+    records = warc.read(spark, manifest, payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
