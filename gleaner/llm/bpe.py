@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gleaner.llm import bundles
-from gleaner.llm.text import pack, ragged, unpack
+from gleaner.llm.text import pack, ragged, unpack, unpack_words
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -83,20 +83,16 @@ def encode(
         known: dict[str, list[int]] = {}
         loaded = tokenizer(path)
         for batch in batches:
-            coded = batch["words"].flatten().dictionary_encode()
-            distinct = coded.dictionary.to_pylist()
-            new = [w for w in distinct if w not in known]
-            known.update(zip(new, (x.ids for x in loaded.encode_batch(new, add_special_tokens=False)), strict=True))
-            found = [known[w] for w in distinct]
-            lengths = np.fromiter(map(len, found), np.int32, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum()))
-            starts = np.cumsum(lengths, dtype=np.int64) - lengths
-            codes, ends = coded.indices.to_numpy(), batch["words"].offsets.to_numpy()
             replies = []
-            for n in range(batch.num_rows):
-                own = codes[ends[n] - ends[0] : ends[n + 1] - ends[0]]
-                sizes, ids = pack(lengths[own]), pack(flat[ragged(starts[own], lengths[own])])
-                replies.append(len(sizes).to_bytes(8, "little") + sizes + ids)
+            for blob in batch["words"]:
+                words = unpack_words(blob.as_py()).to_pylist()
+                new = [w for w in words if w not in known]
+                known.update(zip(new, (x.ids for x in loaded.encode_batch(new, add_special_tokens=False)), strict=True))
+                found = [known[w] for w in words]
+                lengths = np.fromiter(map(len, found), np.int32, len(found))
+                flat = np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum()))
+                sizes = pack(lengths)
+                replies.append(len(sizes).to_bytes(8, "little") + sizes + pack(flat))
             yield pa.RecordBatch.from_arrays(
                 [batch["bundle"], batch["bucket"], pa.array(replies, pa.binary())], ["bundle", "bucket", "reply"]
             )

@@ -19,11 +19,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.text import pack, unpack
+from gleaner.llm.text import pack, pack_words, small_batches, unpack
 from gleaner.sources.files import staged
 
 #: Words after which a bundle is closed; its documents are held in one task at a time.
-BUNDLE_WORDS = 4_000_000
+BUNDLE_WORDS = 2_000_000
 
 DOCS = -1  # the bucket number of the row that holds a bundle's documents
 
@@ -39,6 +39,7 @@ def bundled(
     bucket with its distinct words; counts: how often each occurs in documents whose tag is 0.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tagged = F.col(tag).cast("int") if tag else F.lit(0)
     df = docs.select(F.col(key).alias("key"), F.col(words).alias("words"), tagged.alias("tag"))
@@ -55,7 +56,9 @@ def bundled(
         total = np.bincount(codes, minlength=len(table))
         counts = np.bincount(codes[np.repeat(tags == 0, sizes)], minlength=len(table))
         bucket = (pd.util.hash_array(table.to_numpy(zero_copy_only=False), categorize=False) % buckets).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
+        # inside a bucket in alphabetical order, in which neighbours share bytes
+        order = pc.sort_indices(table).to_numpy()
+        order = order[np.argsort(bucket[order], kind="stable")]
         rank = np.empty(len(table), np.int32)
         by_count = np.argsort(-total, kind="stable")
         rank[by_count] = np.arange(len(table), dtype=np.int32)
@@ -65,7 +68,7 @@ def bundled(
         for b in range(buckets):
             if ends[b] < ends[b + 1]:
                 own = order[ends[b] : ends[b + 1]]
-                row = {"bucket": b, "words": table.take(pa.array(own)).to_pylist(), "counts": pack(counts[own])}
+                row = {"bucket": b, "words": pack_words(table.take(pa.array(own))), "counts": pack(counts[own])}
                 yield packed(serial, row, whole.schema.field("key").type)
         row = {
             "bucket": DOCS, "keys": whole["key"], "sizes": pack(sizes), "tags": pack(tags), "codes": pack(rank[codes]),
@@ -77,7 +80,7 @@ def bundled(
         keys = row.get("keys")
         columns = [
             pa.array([serial], pa.int64()), pa.array([row["bucket"]], pa.int32()),
-            pa.array([row.get("words")], pa.list_(pa.string())), pa.array([row.get("counts")], pa.binary()),
+            pa.array([row.get("words")], pa.binary()), pa.array([row.get("counts")], pa.binary()),
             pa.array([None], pa.list_(key_type)) if keys is None
             else pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys.combine_chunks()),
             *(pa.array([row.get(x)], pa.binary()) for x in ("sizes", "tags", "codes", "places")),
@@ -90,17 +93,20 @@ def bundled(
         first = TaskContext.get().partitionId() << 24
         parts, held, closed = [], 0, 0
         for batch in batches:
-            if batch.num_rows:
-                parts.append(batch)
-                held += len(batch["words"].flatten())
-            if held >= bundle_words:
+            sizes = pc.list_value_length(batch["words"]).to_numpy(zero_copy_only=False)
+            done = 0
+            for row in np.flatnonzero((np.cumsum(sizes) + held) // bundle_words > np.concatenate([[held], np.cumsum(sizes) + held])[:-1] // bundle_words):
+                parts.append(batch.slice(done, int(row) + 1 - done))
                 yield from close(first + closed, parts)
-                parts, held, closed = [], 0, closed + 1
+                parts, done, closed = [], int(row) + 1, closed + 1
+            if done < batch.num_rows:
+                parts.append(batch.slice(done))
+            held = (held + int(sizes.sum())) % bundle_words
         if parts:
             yield from close(first + closed, parts)
 
     schema = (
-        f"bundle long, bucket int, words array<string>, counts binary, keys array<{kind}>, sizes binary, "
+        f"bundle long, bucket int, words binary, counts binary, keys array<{kind}>, sizes binary, "
         "tags binary, codes binary, places binary"
     )
     return staged(df.mapInArrow(run, schema), label)
