@@ -20,7 +20,10 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gleaner.llm import bundles
-from gleaner.llm.text import pack, ragged, unpack, unpack_words
+from gleaner.llm.text import pack_all, ragged, unpack_all, unpack_words
+
+#: Documents that a task turns into ids or texts at a time.
+ROWS = 500
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -74,8 +77,9 @@ def encode(
     if len(specials(path)) > 1:
         raise ValueError("vocabularies with one special string at most")
     df = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # split twice rather than written: the bundles would take as much again as the shuffles
     table = bundles.bundled(
-        df.select("doc_id", split(F.col("text"), path).alias("words")), "bpe", bundle_words=bundle_words
+        df.select("doc_id", split(F.col("text"), path).alias("words")), "bpe", bundle_words=bundle_words, stage=False
     )
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,22 +95,28 @@ def encode(
                 found = [known[w] for w in words]
                 lengths = np.fromiter(map(len, found), np.int32, len(found))
                 flat = np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum()))
-                sizes = pack(lengths)
-                replies.append(len(sizes).to_bytes(8, "little") + sizes + pack(flat))
+                replies.append(pack_all(lengths, flat))
             yield pa.RecordBatch.from_arrays(
                 [batch["bundle"], batch["bucket"], pa.array(replies, pa.binary())], ["bundle", "bucket", "reply"]
             )
 
-    def put(keys, sizes, tags, words, replies) -> pa.Table:
-        parts = [(r[8 : 8 + int.from_bytes(r[:8], "little")], r[8 + int.from_bytes(r[:8], "little") :]) for r in replies]
-        lengths = np.concatenate([np.zeros(0, np.int32), *(unpack(a, np.int32) for a, _ in parts)])
-        flat = np.concatenate([np.zeros(0, np.int32), *(unpack(b, np.int32) for _, b in parts)])
+    def put(bundle: bundles.Bundle) -> pa.Table:
+        parts = [unpack_all(r, np.int32, np.int32) for r in bundle.replies]
+        lengths = np.concatenate([np.zeros(0, np.int32), *(a for a, _ in parts)])
+        flat = np.concatenate([np.zeros(0, np.int32), *(b for _, b in parts)])
         starts = np.cumsum(lengths, dtype=np.int64) - lengths
-        at = lengths[words]
-        ids = flat[ragged(starts[words], at)]
-        ends = np.concatenate([[0], np.cumsum(at, dtype=np.int64)])
-        rows = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-        return pa.table({"doc_id": keys, "ids": pa.ListArray.from_arrays(pa.array(ends[rows], pa.int32()), pa.array(ids))})
+        if len(bundle.words) and bundle.words.max() >= len(lengths):
+            raise ValueError("the input's rows came in another order the second time")
+        rows = np.concatenate([[0], np.cumsum(bundle.sizes, dtype=np.int64)])
+        parts = []
+        for a in range(0, len(bundle.sizes), ROWS):  # in parts, since the indexes take more than the ids
+            b = min(a + ROWS, len(bundle.sizes))
+            own = bundle.words[rows[a] : rows[b]]
+            ids = flat[ragged(starts[own], lengths[own])]
+            ends = np.concatenate([[0], np.cumsum(lengths[own], dtype=np.int64)])[rows[a : b + 1] - rows[a]]
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
+            parts.append(pa.table({"doc_id": bundle.keys[a:b], "ids": lists}))
+        return pa.concat_tables(parts)
 
     rows = bundles.word_rows(table).select("bundle", "bucket", "words").repartition("bucket")
     replies = rows.mapInArrow(encode_words, "bundle long, bucket int, reply binary")
@@ -124,17 +134,19 @@ def decode(encoded: DataFrame, path: str = BYTE_BPE, ids_col: str = "ids") -> Da
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pieces(path)
-        for batch in batches:
-            lists = pc.fill_null(batch[ids_col], pa.scalar([], batch.schema.field(ids_col).type))
-            offsets = lists.offsets.to_numpy()
-            parts = table.take(lists.flatten())
-            bounds = parts.offsets.to_numpy() if hasattr(parts, "offsets") else np.frombuffer(parts.buffers()[1], np.int32)
-            raw = memoryview(parts.buffers()[2] or b"")
-            cuts = bounds[offsets - offsets[0]]
-            texts = [bytes(raw[a:b]).decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"]
-            )
+        for whole in batches:
+            for cut in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(cut, ROWS)
+                lists = pc.fill_null(batch[ids_col], pa.scalar([], batch.schema.field(ids_col).type))
+                offsets = lists.offsets.to_numpy()
+                parts = table.take(lists.flatten())
+                bounds = parts.offsets.to_numpy() if hasattr(parts, "offsets") else np.frombuffer(parts.buffers()[1], np.int32)
+                raw = memoryview(parts.buffers()[2] or b"")
+                cuts = bounds[offsets - offsets[0]]
+                texts = [bytes(raw[a:b]).decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"]
+                )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
     return encoded.mapInArrow(join, f"{schema}, decoded string")

@@ -68,6 +68,36 @@ def unpack(blob: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(size, -1).T).reshape(-1).view(dtype)
 
 
+def pack_ranks(ranks: np.ndarray) -> bytes:
+    """Numbers of which small ones are frequent: a byte each, and the rest apart for those over 254."""
+    small = np.minimum(ranks, 255).astype(np.uint8)
+    return pack_all(small, (ranks[small == 255] - 255).astype(np.int32))
+
+
+def unpack_ranks(blob: bytes) -> np.ndarray:
+    small, rest = unpack_all(blob, np.uint8, np.int32)
+    ranks = small.astype(np.int32)
+    ranks[small == 255] += rest
+    return ranks
+
+
+def pack_all(*arrays: np.ndarray) -> bytes:
+    """Several arrays in one string, each packed and led by its packed size."""
+    out = []
+    for packed in map(pack, arrays):
+        out += [len(packed).to_bytes(8, "little"), packed]
+    return b"".join(out)
+
+
+def unpack_all(blob: bytes, *kinds) -> list[np.ndarray]:
+    out, at = [], 0
+    for kind in kinds:
+        size = int.from_bytes(blob[at : at + 8], "little")
+        out.append(unpack(blob[at + 8 : at + 8 + size], kind))
+        at += 8 + size
+    return out
+
+
 def pack_words(strings: pa.Array) -> bytes:
     """Strings as their packed lengths and their compressed bytes."""
     strings = pa.concat_arrays([strings.cast(pa.string())])
