@@ -8,6 +8,7 @@ with a document the parameters must map one to one, or the likeness is a coincid
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ STOPS = regex.compile(r"[.!?:;][^\p{L}\p{N}]*$")
 SLOTS = np.array([xxhash.xxh64_intdigest(x) for x in ("<plain>", "<number>", "<unit>", "<name>")], np.uint64)
 
 
+@lru_cache(maxsize=1 << 18)
 def features(word: str) -> tuple[int, int, bool]:
     """Kind, hash of the bare lower-cased word, and whether a sentence ends with it."""
     bare = EDGES.sub("", word)
@@ -74,11 +76,11 @@ def templates(lists: pa.ListArray, sizes: list[int]) -> Iterator[tuple[int, np.n
     ends = lists.offsets.to_numpy().astype(np.int64)
     ends = ends - ends[0]
     coded = lists.flatten().dictionary_encode()
-    table = [features(w) for w in coded.dictionary.to_pylist()]
+    kinds, values, closing = zip(*map(features, coded.dictionary.to_pylist()), strict=True) if len(coded.dictionary) else ((), (), ())
     codes = coded.indices.to_numpy()
-    kind = np.array([t[0] for t in table], np.int8)[codes]
-    value = np.array([t[1] for t in table], np.uint64)[codes]
-    stops = np.cumsum(np.concatenate([[0], np.array([t[2] for t in table], bool)[codes]]))
+    kind = np.array(kinds, np.int8)[codes]
+    value = np.array(values, np.uint64)[codes]
+    stops = np.cumsum(np.concatenate([[0], np.array(closing, bool)[codes]]))
     row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
     at = np.flatnonzero(kind != EMPTY)
     kind, value, row = kind[at], value[at], row[at]
@@ -106,6 +108,8 @@ def templates(lists: pa.ListArray, sizes: list[int]) -> Iterator[tuple[int, np.n
                 names = np.concatenate([[0], np.cumsum(name)])
                 good &= names[begin + size] > names[begin + 1]
             good = begin[good]
+            if not len(good):
+                continue
             key = spread(first[:n]) * np.uint64(0x9E3779B97F4A7C15) + windows(canonical[1:], size - 1)[:n]
             key = spread(key + np.uint64(size))
             yield size, key[good].view(np.int64), row[good], good, _Values(value, firm, named, size)

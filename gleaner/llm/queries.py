@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, classifier, decontam, lines, neardup, rules, urls, warc
+from gleaner.llm import bpe, classifier, decontam, katz, lines, neardup, rules, substrings, urls, warc
 from gleaner.sources.files import scratch_dir
 
 QUERIES = {}
@@ -208,3 +208,15 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write(table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
     records = warc.read(spark, manifest, payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op7_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = substrings.deduplicated(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
+    return df.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
