@@ -19,8 +19,11 @@ def tag(name: str) -> str:
 
 
 def class_tag(name: str, tag: str = "[a-zA-Z0-9]+") -> str:
-    """Pattern of an opening tag that carries the class ``name``, alone or among others."""
-    return rf'<{tag}\s(?:[^>]*?\s)?class="(?:[^"]*?\s)?{re.escape(name)}(?:\s[^"]*)?"[^>]*>'
+    """Pattern of an opening tag that carries the class ``name``, alone or among others, in double
+    quotes, single quotes or none."""
+    name = re.escape(name)
+    quoted = "|".join(rf"{q}(?:[^{q}]*?\s)?{name}(?:\s[^{q}]*)?{q}" for q in "\"'")
+    return rf"<{tag}\s(?:[^>]*?\s)?class\s*=\s*(?:{quoted}|{name}(?=[\s>]))[^>]*>"
 
 
 def plain_text(fragment: Column) -> Column:
@@ -53,9 +56,20 @@ def before(html: Column, closing: str) -> Column:
     return F.get(F.split(html, closing, 2), 0)
 
 
+LINK = r"(?is)<a\s(?:[^>]*?\s)?href\s*=[^>]*>.*?</a\s*>"
+HREF = r"""(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+
+
 def link_items(html: Column) -> Column:
-    """(href, text) of every ``<li><a href=…>`` in document order."""
-    pattern = r'<li>\s*<a\s+href="([^"]*)"[^>]*>([^<]*)</a>'
-    hrefs = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
-    texts = F.regexp_extract_all(html, F.lit(pattern), F.lit(2))
-    return F.arrays_zip(hrefs.alias("href"), texts.alias("text"))
+    """(href, text) of every ``<a … href=…>`` in document order: any other attributes, any form of
+    quotes; tags inside the text are left out."""
+
+    def item(link: Column) -> Column:
+        href = F.concat(*(F.regexp_extract(link, HREF, n) for n in (1, 2, 3)))
+        return F.struct(href.alias("href"), F.regexp_replace(link, "(?s)<[^>]*>", "").alias("text"))
+
+    return F.transform(F.regexp_extract_all(html, F.lit(LINK), F.lit(0)), item)
+
+
+def link_count(html: Column) -> Column:
+    return F.regexp_count(html, F.lit(LINK))

@@ -48,13 +48,13 @@ def clean_tokens(df: DataFrame) -> DataFrame:
 
 
 def vocabulary(tokens: DataFrame, min_df: float) -> DataFrame:
-    """(term, df, idf) of the fitted vocabulary, which is at most ``vocabSize`` terms.
-
-    ``tokens`` holds ``tokens_clean``; stage it, both fits read it."""
-    counter = CountVectorizer(inputCol="tokens_clean", outputCol="counts", minDF=min_df).fit(tokens)
-    weights = IDF(inputCol="counts", outputCol="tfidf").fit(counter.transform(tokens))
-    rows = zip(counter.vocabulary, (int(n) for n in weights.docFreq), (float(w) for w in weights.idf.toArray()))
-    return tokens.sparkSession.createDataFrame(list(rows), "term string, df long, idf double")
+    """(term, df, idf) of every term of ``tokens_clean`` in at least ``min_df`` rows, or in that
+    share of them if it is below one. Counted where the rows are; nothing reaches the driver."""
+    total = tokens.agg(F.count("*")).scalar()
+    least = F.lit(min_df) if min_df >= 1 else total * F.lit(min_df)
+    terms = tokens.select(F.explode(F.array_distinct("tokens_clean")).alias("term"))
+    counted = terms.groupBy("term").agg(F.count("*").alias("df")).filter(F.col("df") >= least)
+    return counted.select("term", "df", F.log((total + 1).cast("double") / (F.col("df") + 1)).alias("idf"))
 
 
 def indexed_categories(df: DataFrame, name: str) -> DataFrame:
@@ -95,12 +95,14 @@ def text_classifier(
     max_iter: int = MAX_ITERATIONS,
     min_df: float = MIN_DOCUMENTS[0],
     compat_indexed: bool = False,
+    vocab_size: int = 1 << 18,
 ) -> tuple[Pipeline, CountVectorizer, LogisticRegression]:
     """Counts, idf, indexed and one-hot categories, logistic regression over ``tokens_clean``.
 
-    ``compat_indexed`` feeds the category indexes instead of the one-hot vectors.
+    ``compat_indexed`` feeds the category indexes instead of the one-hot vectors. ``vocab_size``
+    bounds the features: the model has a weight for each of the most frequent terms.
     """
-    counts = CountVectorizer(inputCol="tokens_clean", outputCol="counts", minDF=min_df)
+    counts = CountVectorizer(inputCol="tokens_clean", outputCol="counts", minDF=min_df, vocabSize=vocab_size)
     idf = IDF(inputCol="counts", outputCol="tfidf")
     suffix = "index" if compat_indexed else "onehot"
     encoders = [OneHotEncoder(inputCol=f"{c}_index", outputCol=f"{c}_onehot") for c in categories]

@@ -11,36 +11,51 @@ from pyspark.sql import functions as F
 
 from gleaner.sources.files import staged
 
-SMALL = 50_000  # distinct values that may reach the driver
 FINE = 1_000  # histogram cells per refinement
 
 
 def _cell(value: Column, low, high, cells: int) -> Column:
-    """Equal-width cell of a value inside [low, high], the last cell closed."""
-    width = F.lit(high) - F.lit(low)
-    return F.least(F.lit(cells - 1), F.floor((value - F.lit(low)) / width * cells).cast("int"))
+    """Equal-width cell of a value inside [low, high], the last cell closed. Halves, since the
+    difference of two doubles may be too large for one."""
+    half = F.lit(0.5)
+    width = F.lit(high) * half - F.lit(low) * half
+    return F.least(F.lit(cells - 1), F.floor((value * half - F.lit(low) * half) / width * cells).cast("int"))
 
 
-def order_statistics(values: DataFrame, ranks: list[int], small: int = SMALL, cells: int = FINE) -> dict[int, object]:
+def order_statistics(values: DataFrame, ranks: list[int], cells: int = FINE) -> dict[int, object]:
     """Exact values at the given zero-based ranks of a one-column numeric DataFrame.
 
     Every pass is a histogram over the interval that still holds a wanted rank: a partial
     aggregate with at most ``cells`` rows, whatever the size or the skew of the data. The
-    interval shrinks ``cells``-fold per pass until its distinct values are few enough to
-    read. Pass a staged table, because each pass scans it again.
+    interval shrinks ``cells``-fold per pass until a single value is left. Nulls have no rank;
+    infinities and NaN, which no interval can hold, are counted apart, NaN above all others.
+    Pass a staged table, because each pass scans it again.
     """
     value = F.col(values.columns[0])
     values = values.filter(value.isNotNull())
-    low, high, count = values.agg(F.min(value), F.max(value), F.count(value)).first()
     found: dict[int, object] = {}
-    todo = [(low, high, 0, count, sorted(set(ranks)))] if count else []
+    below, wanted = 0, sorted(set(ranks))
+    if values.dtypes[0][1] in ("double", "float"):
+        odd = {x: F.count_if(value == F.lit(x)) for x in (-math.inf, math.inf, math.nan)}
+        counts = values.agg(*odd.values(), F.count("*")).first()
+        below, above = counts[0], counts[3] - counts[1] - counts[2]
+        for rank in wanted:
+            if rank < below:
+                found[rank] = -math.inf
+            elif above <= rank < counts[3]:
+                found[rank] = math.inf if rank < above + counts[1] else math.nan
+        wanted = [rank for rank in wanted if below <= rank < above]
+        values = values.filter((value > -math.inf) & (value < math.inf))
+    low, high, count = values.agg(F.min(value), F.max(value), F.count(value)).first()
+    todo = [(low, high, below, count, wanted)] if count else []
     while todo:
         low, high, below, count, wanted = todo.pop()
         inside = values.filter(value.between(low, high))
         if low == high:
             found.update(dict.fromkeys(wanted, low))
             continue
-        if count <= small:
+        narrow = isinstance(low, float) and not (high * 0.5 - low * 0.5) / cells > 0
+        if narrow:  # so few representable numbers that each is its own cell
             parts = [(v, v, n) for v, n in inside.groupBy(value).agg(F.count("*")).collect()]
         else:
             cell = _cell(value, low, high, cells).alias("cell")
@@ -80,10 +95,11 @@ def contiguous_folds(keys: DataFrame, folds: int) -> Column:
     """Fold number 0 … folds-1 of a row by its key's place in key order.
 
     ``keys`` holds each key once. Only the ``folds - 1`` cut keys are looked up; the fold is
-    then a plain expression on the key, so the rows themselves are not sorted or shuffled.
+    then a plain expression on the key, so the rows themselves are not sorted or shuffled. Rows
+    without key are in fold 0 and do not count for the sizes.
     """
     name = keys.columns[0]
-    count = keys.count()
+    count = keys.filter(F.col(name).isNotNull()).count()
     starts = [start for start in fold_starts(count, folds) if start < count]
     cuts = order_statistics(keys, starts)
     return sum((F.when(F.col(name) >= cuts[start], 1).otherwise(0) for start in starts), F.lit(0))
@@ -109,7 +125,7 @@ def cumulative_share(bins: DataFrame) -> DataFrame:
     """Cumulated per cent per bin. The windows run over the bins, never over the rows."""
     upto = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     total = F.sum("n").over(Window.partitionBy())
-    return bins.withColumn("cum_percent", F.sum("n").over(upto) / total * 100.0)
+    return bins.withColumn("cum_percent", F.try_divide(F.sum("n").over(upto), total) * 100.0)
 
 
 def numbered_rows(df: DataFrame, key: str, *order: str, name: str = "at") -> DataFrame:

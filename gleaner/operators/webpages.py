@@ -46,11 +46,11 @@ def _number(name: str) -> Column:
 
 def discount_metrics(offers: DataFrame, key: str = "brand") -> DataFrame:
     """Marked-down share of the turnover, total saved and share of marked-down offers, each
-    rounded half-even to an integer. The arrays are summed per page before the shuffle."""
+    rounded half-even to an integer; shares are NULL without prices. The arrays are summed per page before the shuffle."""
     metrics = {
-        "discount_pct": _total("marked_down") * 100 / _total("prices"),
+        "discount_pct": F.try_divide(_total("marked_down") * 100, _total("prices")),
         "saved_total": _total("prices") - _total("marked_down"),
-        "discounted_share": _number("marked_down") * 100 / _number("prices"),
+        "discounted_share": F.try_divide(_number("marked_down") * 100, _number("prices")),
     }
     grouped = priced_offers(offers, key).groupBy(key)
     return grouped.agg(*(F.bround(value).cast("long").alias(name) for name, value in metrics.items()))

@@ -146,8 +146,9 @@ def sample_fraction(t):
                                THEN 'train' ELSE 'test' END AS part FROM orders"""
 )
 def random_split(t):
-    train, test = prepare.split_rows(t["orders"].select("o_orderkey"), "o_orderkey", 0.7, seed=100)
-    return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))
+    """Both parts in one scan; a job that needs one of them filters."""
+    first = prepare.key_hash_below(F.col("o_orderkey"), 0.7, seed=100)
+    return t["orders"].select("o_orderkey", F.when(first, "train").otherwise("test").alias("part"))
 
 
 # -- filters -----------------------------------------------------------------------------

@@ -26,7 +26,6 @@ would
 """.split()
 
 SEED = 2810
-MAX_ITER = 20  # the default of the operator is higher; enough here
 MIN_DF = 5.0  # the operator's default suits larger collections
 
 GAPS = "regexp_split_to_array(lower(text), '\\W+')"
@@ -48,8 +47,8 @@ def documents(t):
     return t.spread("documents", "doc_id")
 
 
-def staged_tokens(t):
-    return files.staged(learn.clean_tokens(documents(t)).select("tokens_clean"), "tokens")
+def cleaned(t):
+    return learn.clean_tokens(t["documents"]).select("tokens_clean")
 
 
 @query(TOKENS + " SELECT doc_id, array_to_string(tokens, ' ') AS tokens FROM tokens")
@@ -65,7 +64,7 @@ def ml_tokens_clean(t):
 
 @query(VOCABULARY + " SELECT term, df FROM vocabulary")
 def ml_vocabulary_df(t):
-    return learn.vocabulary(staged_tokens(t), MIN_DF).select("term", "df")
+    return learn.vocabulary(cleaned(t), MIN_DF).select("term", "df")
 
 
 @query(
@@ -73,7 +72,7 @@ def ml_vocabulary_df(t):
     + " SELECT term, round(ln(((SELECT count(*) FROM documents) + 1) / CAST(df + 1 AS DOUBLE)), 9) AS idf FROM vocabulary"
 )
 def ml_idf(t):
-    return learn.vocabulary(staged_tokens(t), MIN_DF).select("term", F.round("idf", 9).alias("idf"))
+    return learn.vocabulary(cleaned(t), MIN_DF).select("term", F.round("idf", 9).alias("idf"))
 
 
 INDEXED = """WITH counts AS (SELECT event_type, count(*) AS n FROM events GROUP BY event_type),
@@ -143,7 +142,7 @@ CATEGORIES = ["lang", "source"]
 @query()
 def text_quality_model(t):
     train, test = prepare.split_rows(labelled_documents(t), "doc_id", 0.9, SEED)
-    classifier, _, _ = learn.text_classifier("quality", ["n_chars"], CATEGORIES, max_iter=MAX_ITER, min_df=MIN_DF)
+    classifier, _, _ = learn.text_classifier("quality", ["n_chars"], CATEGORIES, min_df=MIN_DF)
     model = learn.fit_on_text(classifier, train)
     return model.transform(test).select("doc_id", "quality", F.col("predictions").cast("int").alias("prediction"))
 
@@ -152,7 +151,7 @@ def text_quality_model(t):
 def tvs_best_params(t):
     train, _ = prepare.split_rows(labelled_documents(t), "doc_id", 0.9, SEED)
     tuner = learn.tuned_text_classifier(
-        "quality", ["n_chars"], CATEGORIES, seed=SEED, max_iter=MAX_ITER, min_documents=(MIN_DF, 2 * MIN_DF, 4 * MIN_DF)
+        "quality", ["n_chars"], CATEGORIES, seed=SEED, min_documents=(MIN_DF, 2 * MIN_DF, 4 * MIN_DF)
     )
     tuned = learn.fit_on_text(tuner, train).stages[-1]
     return learn.chosen_params(t.spark, tuned, tuned.validationMetrics)
@@ -166,7 +165,7 @@ def ml_reload_same_predictions(t):
     """Save the tuned model and its tuner, load the model, score again: all predictions must agree."""
     train, test = prepare.split_rows(labelled_documents(t), "doc_id", 0.9, SEED)
     tuner = learn.tuned_text_classifier(
-        "quality", ["n_chars"], CATEGORIES, seed=SEED, max_iter=5, min_documents=(MIN_DF, 2 * MIN_DF)
+        "quality", ["n_chars"], CATEGORIES, seed=SEED, min_documents=(MIN_DF, 2 * MIN_DF, 4 * MIN_DF)
     )
     model = learn.fit_on_text(tuner, train)
     path = files.scratch_dir(t.spark, "model")
@@ -199,7 +198,7 @@ def tree_multiclass(t):
 
 @query()
 def forest_multiclass(t):
-    return fitted_predictions(t, learn.random_forest("label", numTrees=10))
+    return fitted_predictions(t, learn.random_forest("label"))
 
 
 @query()
@@ -221,7 +220,7 @@ def pca_project(t):
 @query()
 def cv_best_params(t):
     """How many principal components serve a tree best, by three-fold cross-validation."""
-    estimator, components = learn.component_tree("label", maxDepth=5)
+    estimator, components = learn.component_tree("label")
     grid = ParamGridBuilder().addGrid(components.k, list(learn.COMPONENTS)).build()
     evaluator = learn.f1_evaluator("label", "prediction", "accuracy")
     train, _ = prepare.split_rows(vectors(t), "vec_id", 0.7, seed=100)

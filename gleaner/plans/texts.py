@@ -143,6 +143,15 @@ def span_rewrite(t):
     )
 
 
+@query("SELECT event_type AS line, count(*) AS n FROM events GROUP BY event_type")
+def whole_file_lines(t):
+    """Text files read as one row each, then cut into lines and counted."""
+    path = files.scratch_dir(t.spark, "whole")
+    t["events"].select("event_type").write.text(path)
+    lines = files.read_whole_texts(t.spark, path).select(F.explode(F.split("value", "\n")).alias("line"))
+    return lines.filter("line <> ''").groupBy("line").agg(F.count("*").alias("n"))
+
+
 @query(
     r"""WITH tokens AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '\s+')) AS word FROM documents),
         counts AS (SELECT doc_id, word, count(*) AS n FROM tokens WHERE word <> '' GROUP BY doc_id, word)

@@ -44,7 +44,7 @@ def first_n_items(t):
 def links_by_host(t):
     """Links are counted per page inside the row, so nothing is exploded or made distinct."""
     per_page = pages(t).select(
-        F.try_parse_url("url", F.lit("HOST")).alias("host"), F.size(H.link_items(F.col("html"))).alias("n")
+        F.try_parse_url("url", F.lit("HOST")).alias("host"), H.link_count(F.col("html")).cast("long").alias("n")
     ).filter("n > 0")
     return per_page.groupBy("host").agg(F.sum("n").alias("n_links"), F.count("*").alias("n_pages"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,11 +13,12 @@ from pyspark.sql import types as T
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to the machine's own temporary folder.
+    Where it is unset, a session in a single process (``local[n]``) uses the machine's temporary
+    folder, which all its tasks share; any other master is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -112,3 +112,10 @@ def test_components(spark):
 def test_vectors_from_arrays(spark):
     df = spark.createDataFrame([([1.0, 2.0],)], "embedding array<float>")
     assert learn.with_vector(df, "embedding").select(F.col("features")).first()[0] == Vectors.dense([1.0, 2.0])
+
+
+def test_vocabulary_has_no_cap(spark):
+    rows = spark.range(300_000).selectExpr("array(concat('t', id), 'both') AS tokens_clean")
+    found = learn.vocabulary(rows.union(rows), 2.0)
+    assert found.count() == 300_001 and found.filter("term = 'both'").first()["df"] == 600_000
+    assert learn.vocabulary(rows.union(rows), 0.5).count() == 1

@@ -23,13 +23,13 @@ def third_equal(n=3_000, seed=1):
 def test_order_statistics_refine(spark):
     values = third_equal()
     wanted = [0, 1, 500, 1_500, 2_999]
-    found = ranks.order_statistics(column(spark, values), wanted, small=10, cells=8)
+    found = ranks.order_statistics(column(spark, values), wanted, cells=8)
     assert found == {rank: sorted(values)[rank] for rank in wanted}
 
 
 def test_order_statistics_integers(spark):
     values = list(range(0, 4_000, 4)) + [2**40] * 5 + [-(2**40)]
-    found = ranks.order_statistics(column(spark, values, "long"), [0, 1, 500, 1_000, 1_005], small=5, cells=4)
+    found = ranks.order_statistics(column(spark, values, "long"), [0, 1, 500, 1_000, 1_005], cells=4)
     assert found == {rank: sorted(values)[rank] for rank in (0, 1, 500, 1_000, 1_005)}
 
 
@@ -96,3 +96,21 @@ def test_moving_average(spark, block):
 def test_moving_average_rejects_short_blocks(spark):
     with pytest.raises(ValueError):
         ranks.moving_average(events(spark), "k", ["ts", "id"], "v", rows=10, block=5)
+
+
+def test_infinities_and_nan_have_ranks(spark):
+    values = [3.0, float("inf"), 1.0, float("nan"), 8.0, float("-inf"), 2.0, float("inf"), 1e308, -1e308, 5e-324, 0.0]
+    found = ranks.order_statistics(column(spark, values), list(range(len(values))), cells=3)
+    ordered = sorted((v for v in values if v == v))
+    assert [found[n] for n in range(len(ordered))] == ordered and found[11] != found[11]
+
+
+def test_keys_without_value_are_in_the_first_fold(spark):
+    keys = spark.createDataFrame([(float(n),) for n in range(9)] + [(None,)], "x double")
+    rows = keys.select("x", ranks.contiguous_folds(keys, 10).alias("fold")).collect()
+    assert {r["x"]: r["fold"] for r in rows} == {None: 0} | {float(n): n for n in range(9)}
+
+
+def test_share_of_nothing(spark):
+    bins = spark.createDataFrame([(0, 0), (1, 0)], "bin long, n long")
+    assert [r["cum_percent"] for r in ranks.cumulative_share(bins).collect()] == [None, None]
