@@ -21,16 +21,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.llm.text import small_batches
+from gleaner.sources.files import staged
 
 #: Bytes of payload that a shard should hold, compressed bytes after which a file is closed, and
 #: bytes from which a payload that was seen before is replaced by a revisit record.
-SHARD_BYTES, ROLL_BYTES, REVISIT_BYTES = 64 << 20, 32 << 20, 100
+SHARD_BYTES, ROLL_BYTES, REVISIT_BYTES = 32 << 20, 32 << 20, 100
 
 # Names that the format prescribes.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2020-01-01T00:00:00Z"  # the tables have no dates; a clock would make every run differ
 
-RECORD = "page_id long, url string, html string, digest string, payload_bytes long, refers_to long, shard long"
 FILES = "shard long, path string, records long, bytes long, sha256 string"
 
 
@@ -68,40 +68,40 @@ def page_record(page_id, url, html, digest, payload_bytes, refers_to) -> bytes:
     return member(headers, block)
 
 
-def shard_span(records: DataFrame, shard_bytes: int) -> int:
+def shard_span(sizes: DataFrame, shard_bytes: int) -> int:
     """How many ids make a shard: few enough that the fullest shard holds under four times the aim.
 
     Where ids lie far apart in one place and close in another, the close ones decide.
     """
-    low, high, total = records.agg(F.min("page_id"), F.max("page_id"), F.sum("stored")).first()
+    low, high, total = sizes.agg(F.min("page_id"), F.max("page_id"), F.sum("payload_bytes")).first()
     if low is None:
         return 1
     span = max(1, math.ceil((high - low + 1) * min(1.0, shard_bytes / max(1, total))))
     while span > 1:
-        fullest = records.groupBy(F.floor(F.col("page_id") / span)).agg(F.sum("stored").alias("n")).agg(F.max("n")).first()[0]
-        if fullest <= 4 * shard_bytes:
+        held = sizes.groupBy(F.floor(F.col("page_id") / span)).agg(F.sum("payload_bytes").alias("n"))
+        if held.agg(F.max("n")).first()[0] <= 4 * shard_bytes:
             break
         span = max(1, span // 4)
     return span
 
 
-def planned(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """Rows with digest, size, and the page that each one refers to, if any; revisits lose their html."""
+def digested(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
     df = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
         F.coalesce(F.col(html_col), F.lit("")).alias("html"),
     )
-    df = df.withColumns({"digest": F.sha2("html", 256), "payload_bytes": F.octet_length("html").cast("long")})
+    return df.withColumns({"digest": F.sha2("html", 256), "payload_bytes": F.octet_length("html").cast("long")})
+
+
+def revisits(sizes: DataFrame) -> DataFrame:
+    """(page_id, digest, refers_to) of the pages whose payload a page of smaller id has."""
     first = (
-        df.filter(F.col("payload_bytes") >= REVISIT_BYTES).groupBy("digest")
-        .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    )
-    again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    df = df.join(first, "digest", "left").withColumn("refers_to", F.when(again, F.col("first")))
-    return df.select(
-        "page_id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"), "digest", "payload_bytes",
-        "refers_to", F.when(F.col("refers_to").isNull(), F.col("payload_bytes")).otherwise(0).alias("stored"),
+        sizes.filter(F.col("payload_bytes") >= REVISIT_BYTES).groupBy("digest")
+        .agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n"))
+        .filter("n > 1 AND refers_to IS NOT NULL").drop("n")
     )
+    again = sizes.join(first, "digest").filter(~F.col("page_id").eqNullSafe(F.col("refers_to")))
+    return again.select("page_id", "digest", "refers_to").distinct()
 
 
 def write(
@@ -117,10 +117,20 @@ def write(
     """
     spark = pages.sparkSession
     small_batches(spark, 500)
-    records = planned(pages, id_col, url_col, html_col)
-    span = shard_span(planned(pages, id_col, url_col, html_col).select("page_id", "stored"), shard_bytes)
-    records = records.withColumn("shard", F.floor(F.col("page_id") / span)).drop("stored")
-    records = records.repartition("shard").sortWithinPartitions("shard", "page_id", "digest", "url")
+    records = digested(pages, id_col, url_col, html_col)
+    sizes = staged(records.select("page_id", "digest", "payload_bytes"), "warc-sizes")
+    span = shard_span(sizes, shard_bytes)
+    # a row without html ahead of the pages it is about: so the html is shuffled once
+    none = F.lit(None)
+    told = revisits(sizes).select(
+        "page_id", none.cast("string").alias("url"), none.cast("string").alias("html"), "digest",
+        none.cast("long").alias("payload_bytes"), "refers_to",
+    )
+    records = records.withColumn("refers_to", none.cast("long")).unionByName(told)
+    records = records.withColumn("shard", F.floor(F.col("page_id") / span)).repartition("shard")
+    records = records.sortWithinPartitions(
+        "shard", "page_id", "digest", F.col("refers_to").asc_nulls_last(), F.col("url").asc_nulls_first()
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(out_dir)
@@ -138,8 +148,13 @@ def write(
                 ["shard", "path", "records", "bytes", "sha256"],
             )
 
+        about = told_to = None
         for batch in batches:
             for row in batch.to_pylist():
+                if row["payload_bytes"] is None:
+                    about, told_to = (row["page_id"], row["digest"]), row["refers_to"]
+                    continue
+                row["refers_to"] = told_to if about == (row["page_id"], row["digest"]) else None
                 if file and (row["shard"] != shard or file[3] >= roll_bytes):
                     yield close()
                     file, serial = None, serial + 1 if row["shard"] == shard else 0
@@ -166,16 +181,20 @@ def write(
     return spark.read.schema(FILES).parquet(manifest)
 
 
-def records_of(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of each gzip member."""
-    while raw:
-        opener = zlib.decompressobj(31)
-        text = opener.decompress(raw) + opener.flush()
-        raw = opener.unused_data
-        head, _, body = text.partition(b"\r\n\r\n")
+def records_of(raw: bytes, step: int = 1 << 14) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers, block) of each gzip member. Bytes are passed on in steps, since what is left over
+    at the end of a member is copied."""
+    view, at = memoryview(raw), 0
+    while at < len(raw):
+        opener, parts = zlib.decompressobj(31), []
+        while not opener.eof and at < len(raw):
+            chunk = view[at : at + step]
+            parts.append(opener.decompress(chunk))
+            at += len(chunk) - len(opener.unused_data)
+        head, _, body = b"".join(parts).partition(b"\r\n\r\n")
         lines = head.decode().split("\r\n")
         if not opener.eof or not lines[0].startswith("WARC/"):
-            raise ValueError("no whole WARC record")
+            raise ValueError("damaged: no whole record")
         headers = dict(line.split(": ", 1) for line in lines[1:])
         yield headers, body[: int(headers["Content-Length"])]
 
@@ -225,4 +244,5 @@ def read(spark: SparkSession, manifest: DataFrame, payloads: bool = True) -> Dat
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
 
-    return manifest.select("path", "sha256").repartition("path").mapInArrow(run, schema)
+    files = manifest.count()
+    return manifest.select("path", "sha256").repartition(max(1, files), "path").mapInArrow(run, schema)
