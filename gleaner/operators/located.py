@@ -111,17 +111,18 @@ def assembled(matrix: DataFrame, names: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=names, outputCol="features").transform(matrix)
 
 
-def fit_positions(train: DataFrame, ridge: float = 0.0):
-    """Least squares for latitude and longitude on the ``features`` column, by one pass of
-    normal equations each.
+def fit_positions(train: DataFrame, ridge: float = 0.0, solver: str = "normal"):
+    """Least squares for latitude and longitude on the ``features`` column.
 
-    Station matrices are rank-deficient (a station's coordinates are multiples of its being
-    heard). There a tiny ``ridge`` selects, up to rounding, the solution of least norm; without
-    it the normal equations have no unique solution and an iterative solver takes over.
+    ``normal`` solves the normal equations in one pass, for at most 4096 features of full rank.
+    Station matrices have five features per station and are rank-deficient (a station's
+    coordinates are multiples of its being heard): give ``l-bfgs``, which takes any number of
+    features, and a tiny ``ridge``, without which there is no unique solution.
     """
     return {
         target: LinearRegression(
-            featuresCol="features", labelCol=target, predictionCol=f"pred_{target}", solver="normal", regParam=ridge
+            featuresCol="features", labelCol=target, predictionCol=f"pred_{target}", solver=solver, regParam=ridge,
+            maxIter=500, tol=1e-9,
         ).fit(train)
         for target in ("lat", "lng")
     }

@@ -276,7 +276,7 @@ def geo_sparse_model(t):
     rows = located_messages(t)
     vectors = located.sparse_features(rows, located.stations(t["messages"])).join(located.ground_truth(rows), "messid")
     table = files.staged(vectors, "vectors")
-    models = located.fit_positions(table, located.TINY_RIDGE)
+    models = located.fit_positions(table, located.TINY_RIDGE, "l-bfgs")
     return located.distance_errors(located.predict_positions(models, table), "messid")
 
 
@@ -287,5 +287,5 @@ def geo_matrix_model(t):
     rows = located_messages(t)
     matrix = located.feature_matrix(rows, ids).join(located.ground_truth(rows), "messid")
     vectors = located.assembled(files.staged(matrix, "matrix"), [c for c in matrix.columns if c not in ("messid", "lat", "lng")])
-    models = located.fit_positions(vectors, located.TINY_RIDGE)
+    models = located.fit_positions(vectors, located.TINY_RIDGE, "l-bfgs")
     return located.distance_errors(located.predict_positions(models, vectors), "messid")

@@ -105,3 +105,15 @@ def test_occurring_distances(spark):
     assert rows[(0, 0)] == (1, 0.0)
     assert rows[(0, 1)][0] == 2
     assert rows[(0, 1)][1] == rows[(1, 0)][1] > 100
+
+
+def test_a_thousand_stations(spark):
+    heard = spark.range(6000).selectExpr(
+        "id AS row_key", "id div 3 AS messid", "(id * 37) % 1000 AS bsid", "id % 4 AS nseq", "-60.0 - id % 50 AS rssi",
+        "1700000000 + id AS time_ux", "39.5 + ((id * 37) % 1000) * 0.001 AS bs_lat", "-105.0 + ((id * 37) % 1000) * 0.002 AS bs_lng",
+        "39.5 + (id div 3 % 97) * 0.005 AS lat", "-104.8 + (id div 3 % 89) * 0.006 AS lng",
+    )
+    rows = located.sparse_features(heard, located.stations(heard)).join(located.ground_truth(heard), "messid")
+    assert rows.first()["features"].size == 5000
+    models = located.fit_positions(rows, located.TINY_RIDGE, "l-bfgs")
+    assert located.predict_positions(models, rows).filter("pred_lat IS NOT NULL AND pred_lng IS NOT NULL").count() == 2000
