@@ -27,20 +27,24 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return tied.unionByName(least.select("u", F.col("m").alias("v")))
 
 
+def digest(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
 def components(edges: DataFrame, u: str, v: str) -> DataFrame:
     """(node, component) for every node of an edge: the component's smallest node.
 
     Each round is written to the shared folder. What reaches the driver is a count and a sum; the
     number of rounds grows with the logarithm of the longest path.
     """
-    edges = edges.select(F.col(u).alias("u"), F.col(v).alias("v")).filter("u <> v").distinct()
+    edges = edges.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).filter("u <> v").distinct()
     edges = staged(edges, "components")
-    before = None
+    before = digest(edges)
     while True:
         large = _large_star(edges).filter("u <> v").distinct()
         edges = staged(_small_star(large).filter("u <> v").distinct(), "components")
         # the edges of a finished round are stars, which both steps leave as they are
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        now = digest(edges)
         if now == before:
             break
         before = now

@@ -122,19 +122,23 @@ def index_keys(classes: DataFrame) -> DataFrame:
     return classes.select("rep", "signature").mapInArrow(run, f"key long, rep {kind}")
 
 
-def ties(signed: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
-    """(members, leader) as row numbers of one bucket's signatures, in order of the rows."""
+def joined(signed: np.ndarray) -> np.ndarray:
+    """For the rows of one bucket's signatures, the first row of each one's cluster.
+
+    Leaders are taken in order of the rows from those not yet within ``NEAR`` of one.
+    """
+    first = np.arange(len(signed))
     if len(signed) == 2:
-        if (signed[0] != signed[1]).sum() <= DISTANCE:
-            yield np.array([1]), 0
-        return
+        first[1] = 0 if (signed[0] != signed[1]).sum() <= DISTANCE else 1
+        return first
     open_ = np.ones(len(signed), bool)
-    while open_.any():
+    while open_.any() and first.any():
         leader = int(np.argmax(open_))
         apart = (signed != signed[leader]).sum(1)
-        members = np.flatnonzero(apart <= NEAR + DISTANCE)
-        yield members[members != leader], leader
+        together = np.unique(first[apart <= NEAR + DISTANCE])
+        first[np.isin(first, together)] = together[0]
         open_ &= apart > NEAR
+    return first
 
 
 def candidate_ties(classes: DataFrame) -> DataFrame:
@@ -142,7 +146,7 @@ def candidate_ties(classes: DataFrame) -> DataFrame:
     kind = classes.schema["rep"].dataType.simpleString()
     keys = index_keys(classes)
     several = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("root")).filter("n > 1")
-    # a hot bucket is dealt out in parts, whose leaders are all tied to the bucket's first member
+    # a hot bucket is dealt out in parts, whose clusters are all tied to the bucket's first member
     part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / PART)).cast("int")
     members = keys.join(several, "key").select("key", part.alias("part"), "rep", (F.col("n") > PART).alias("hot"), "root")
     members = members.join(classes.select("rep", "signature"), "rep")
@@ -170,16 +174,10 @@ def candidate_ties(classes: DataFrame) -> DataFrame:
         table = table.combine_chunks()
         signed, reps, ends = signature_matrix(table["signature"].combine_chunks()), table["rep"].combine_chunks(), cuts(table)
         hot = table["hot"].to_numpy()
-        left, right, rooted = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
-        for a, b in zip(ends[:-1], ends[1:], strict=True):
-            for members, leader in ties(signed[a:b]):
-                left.append(members + a)
-                right.append(np.full(len(members), leader + a))
-                if hot[a]:
-                    rooted.append(leader + a)
-        u, v = np.concatenate(left), np.concatenate(right)
-        yield pa.RecordBatch.from_arrays([reps.take(pa.array(u)), reps.take(pa.array(v))], ["u", "v"])
-        at = pa.array(rooted, pa.int64())
+        first = np.concatenate([a + joined(signed[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)])
+        tied = np.flatnonzero(first != np.arange(len(first)))
+        yield pa.RecordBatch.from_arrays([reps.take(pa.array(tied)), reps.take(pa.array(first[tied]))], ["u", "v"])
+        at = pa.array(np.flatnonzero((first == np.arange(len(first))) & hot))
         yield pa.RecordBatch.from_arrays([reps.take(at), table["root"].combine_chunks().take(at)], ["u", "v"])
 
     return members.mapInArrow(run, f"u {kind}, v {kind}").filter("u <> v").distinct()
@@ -223,7 +221,8 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, size: int, percent: in
         "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     )
     texts = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text"))
-    worded = texts.join(placed.drop("n_shingles"), "rep").withColumn("words", hashes(words(ascii_lower(F.col("text"))))).drop("text")
+    # never broadcast: the table of clusters grows with the documents
+    worded = texts.join(placed.drop("n_shingles").hint("merge"), "rep").withColumn("words", hashes(words(ascii_lower(F.col("text"))))).drop("text")
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
