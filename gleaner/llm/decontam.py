@@ -2,11 +2,13 @@
 
 Numbers, units and names become typed placeholders, so that a question whose parameters were
 changed keeps its windows. Windows of canonical words are joined by hash; per alignment of an item
-with a document the parameters must map one to one, or the likeness is a coincidence.
+with a document the parameters must map one to one, or the likeness is a coincidence. Where they
+do not, a long enough stretch of the alignment that holds no conflict still counts.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,6 +23,9 @@ from gleaner.llm.text import ragged, small_batches, spread, windows, words
 
 #: Canonical words in a window; an item with fewer is one window, below SHORTEST it has none.
 WINDOW, SHORTEST = 10, 5
+#: Words beyond a window that a stretch needs to stand by itself where other windows of its alignment
+#: conflict: word for word, and with mapped parameters (for windows of 10: 13 and 20 words).
+COPIED, MAPPED = 3, 10
 #: Bits of the filter that keeps words of no benchmark window from the shuffle. A fixed size: a
 #: benchmark with far more windows only lets more rows through.
 FILTER_BITS = 1 << 22
@@ -152,6 +157,55 @@ def windowed(df: DataFrame, key: str, sizes: list[int], allowed=None) -> DataFra
     return df.mapInArrow(run, f"{key} {kind}, th long, k long, p long, vals array<bigint>")
 
 
+def stretch(windows: list[tuple[int, set]]) -> tuple[int, set]:
+    """Of windows (start, pairs) in order of start, the longest run of neighbours whose pairs map one
+    to one: its number of windows, and its pairs."""
+    best, best_pairs, low = 0, set(), 0
+    pairs, item, doc = Counter(), Counter(), Counter()
+
+    def drop(pair):
+        pairs[pair] -= 1
+        if not pairs[pair]:
+            del pairs[pair]
+            for side, x in ((item, pair[0]), (doc, pair[1])):
+                side[x] -= 1
+                if not side[x]:
+                    del side[x]
+
+    for high, (start, new) in enumerate(windows):
+        if high and start != windows[high - 1][0] + 1:
+            low = high
+            for side in (pairs, item, doc):
+                side.clear()
+        for pair in new:
+            if pair not in pairs:
+                item[pair[0]] += 1
+                doc[pair[1]] += 1
+            pairs[pair] += 1
+        while not len(pairs) == len(item) == len(doc):
+            for pair in windows[low][1]:
+                drop(pair)
+            low += 1
+        if high + 1 - low > best:
+            best, best_pairs = high + 1 - low, set(pairs)
+    return best, best_pairs
+
+
+def judged(windows: list[tuple[int, set]], size: int, window: int) -> tuple[int, int, bool] | None:
+    """(n_windows, n_slots, verbatim) of an alignment by its windows (start, pairs) in order, or
+    None if it is a coincidence."""
+    same = lambda pairs: all(a == b for a, b in pairs)
+    pooled = set().union(*(pairs for _, pairs in windows))
+    if len({a for a, _ in pooled}) == len({b for _, b in pooled}) == len(pooled):
+        return len(windows), len(pooled), same(pooled)
+    good = []
+    for chosen, more in (([w for w in windows if same(w[1])], COPIED), (windows, MAPPED)):
+        n, pairs = stretch(chosen)
+        if n and n + size - 1 >= window + more:
+            good.append((n, len(pairs), same(pairs)))
+    return max(good, default=None)
+
+
 def matches(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text",
@@ -160,8 +214,9 @@ def matches(
 
     A document holds an item if one of its windows has the template of one of the item's, and all
     windows of that alignment agree on which parameter of the item stands for which of the document,
-    one to one. n_windows and n_slots (distinct parameters) are those of the best alignment;
-    verbatim: its parameters are the item's. Null texts hold nothing and are held by nothing; rows
+    one to one. Where they disagree, neighbouring windows that agree among themselves are enough if
+    they cover ``MAPPED`` words more than a window, or word for word ``COPIED`` more. n_windows and n_slots (distinct parameters) are those of the best alignment or
+    stretch; verbatim: its parameters are the item's. Null texts hold nothing and are held by nothing; rows
     of one id and one text count once; items under ``SHORTEST`` words are never found.
     """
     spark = docs.sparkSession
@@ -186,19 +241,31 @@ def matches(
     both = F.filter(
         F.arrays_zip("item_vals", "vals"), lambda x: x["item_vals"] != 0
     )
-    pairs = pairs.select("doc_id", "th", "item_id", (F.col("p") - F.col("q")).alias("shift"), "q", both.alias("both"))
-    aligned = pairs.groupBy("doc_id", "th", "item_id", "shift").agg(
-        F.count_distinct("q").alias("n_windows"), F.array_distinct(F.flatten(F.collect_set("both"))).alias("both")
+    pairs = pairs.select(
+        "doc_id", "th", "item_id", "size", (F.col("p") - F.col("q")).alias("shift"), F.struct("q", both.alias("both")).alias("window")
     )
-    distinct = lambda side: F.size(F.array_distinct(F.transform("both", lambda x: x[side])))
-    aligned = aligned.filter((F.size("both") == distinct("item_vals")) & (F.size("both") == distinct("vals")))
-    best = aligned.select(
-        "doc_id", "item_id",
-        F.struct(
-            F.col("n_windows").cast("long").alias("n_windows"), F.size("both").cast("long").alias("n_slots"),
-            F.forall("both", lambda x: x["item_vals"] == x["vals"]).alias("verbatim"),
-        ).alias("best"),
-    )
+    aligned = pairs.groupBy("doc_id", "th", "item_id", "size", "shift").agg(F.collect_set("window").alias("windows"))
+    aligned = aligned.select("doc_id", "item_id", "size", "windows")
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, found = [], []
+            for i, (size, rows) in enumerate(zip(batch["size"].to_pylist(), batch["windows"].to_pylist(), strict=True)):
+                held: dict[int, set] = {}
+                for row in rows:
+                    held.setdefault(row["q"], set()).update((x["item_vals"], x["vals"]) for x in row["both"])
+                verdict = judged(sorted(held.items()), size, window)
+                if verdict:
+                    at.append(i)
+                    found.append(verdict)
+            if at:
+                n, slots, same = zip(*found, strict=True)
+                columns = [batch["doc_id"].take(pa.array(at)), batch["item_id"].take(pa.array(at)), pa.array(n, pa.int64()), pa.array(slots, pa.int64()), pa.array(same)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "n_windows", "n_slots", "verbatim"])
+
+    kinds = [aligned.schema[x].dataType.simpleString() for x in ("doc_id", "item_id")]
+    best = aligned.mapInArrow(judge, f"doc_id {kinds[0]}, item_id {kinds[1]}, n_windows long, n_slots long, verbatim boolean")
+    best = best.select("doc_id", "item_id", F.struct("n_windows", "n_slots", "verbatim").alias("best"))
     return best.groupBy("doc_id", "item_id").agg(F.max("best").alias("best")).select("doc_id", "item_id", "best.*")
 
 

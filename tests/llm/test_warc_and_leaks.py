@@ -75,6 +75,33 @@ def test_templates(spark):
     assert decontam.matches(docs.limit(0), items).count() == 0 == decontam.matches(docs, items.limit(0)).count()
 
 
+LONG_ITEM = (
+    "If Tom buys 3 apples for 5 dollars and later sells them at the old market near the river to people who pass by there every "
+    "single morning on their way to work, then what is the whole profit that our friend Tom makes after 7 long days?"
+)
+
+
+def test_a_conflict_removes_only_its_windows(spark):
+    texts = {
+        1: LONG_ITEM.replace("friend Tom", "friend Bob"),  # one of two uses changed, the rest word for word
+        2: LONG_ITEM.replace("3 apples for 5", "9 apples for 9"),  # two values became equal
+        3: LONG_ITEM.replace("3 apples for 5", "9 apples for 9").replace("7 long", "4 long").replace("Tom", "Ann"),
+        4: " ".join(LONG_ITEM.replace("3 apples for 5", "9 apples for 9").split()[:17]),  # too little without a conflict
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    items = spark.createDataFrame([(1, LONG_ITEM), (2, LONG_ITEM.replace("7 long", "5 long"))], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.verbatim for r in decontam.matches(docs, items).collect()}
+    assert {d for d, i in found if i == 1} == {1, 2, 3} and not any(found.values())
+    # equal values of the item that became different ones
+    assert {d for d, i in found if i == 2} >= {1, 3}
+
+
+def test_stretches():
+    windows = [(0, {(1, 1)}), (1, {(1, 1), (2, 2)}), (2, {(2, 2)}), (3, {(2, 3)}), (5, set()), (6, {(2, 3)})]
+    assert decontam.stretch(windows) == (3, {(1, 1), (2, 2)})
+    assert decontam.stretch([(0, {(1, 2), (1, 3)}), (1, {(1, 4)})]) == (1, {(1, 4)}) and decontam.stretch([]) == (0, set())
+
+
 def test_every_planted_item(spark):
     sf = "/root/testdata/sf0.01"
     docs, items = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
