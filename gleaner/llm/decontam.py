@@ -21,11 +21,13 @@ from pyspark.sql import functions as F
 
 from gleaner.llm.text import ragged, small_batches, spread, windows, words
 
-#: Canonical words in a window; an item with fewer is one window, below SHORTEST it has none.
+#: Canonical words in a window; an item with fewer is one window, below SHORTEST one of verbatim words.
 WINDOW, SHORTEST = 10, 5
 #: Words beyond a window that a stretch needs to stand by itself where other windows of its alignment
 #: conflict: word for word, and with mapped parameters (for windows of 10: 13 and 20 words).
 COPIED, MAPPED = 3, 10
+#: Added to the size in the hash of verbatim windows, so that they never meet templates.
+EXACT = 1 << 20
 #: Bits of the filter that keeps words of no benchmark window from the shuffle. A fixed size: a
 #: benchmark with far more windows only lets more rows through.
 FILTER_BITS = 1 << 22
@@ -68,10 +70,11 @@ def features(word: str) -> tuple[int, int, bool]:
     return kind, xxhash.xxh64_intdigest(low), bool(STOPS.search(word))
 
 
-def templates(lists: pa.ListArray, sizes: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(size, key, row, start, values) of the windows of each size: ``values`` has a line per window
-    with the hash of each slot's word, 0 elsewhere. Windows with more slots than other words are
-    left out, since their template says little.
+def templates(lists: pa.ListArray, sizes: list[int], items: bool = False) -> Iterator[tuple[bool, np.ndarray, np.ndarray, np.ndarray, _Values]]:
+    """(exact, key, row, start, values) of the windows of each size: ``values`` has a line per window
+    with the hash of each slot's word, 0 elsewhere. Windows with more slots than other words, or of
+    fewer than ``SHORTEST`` words, say little as templates. They come as ``exact`` ones with all words
+    plain and no slots; of ``items``, only those of the largest size that the row allows.
 
     A capitalised word is a name unless it starts a sentence, or the window: what stands before the
     window is no part of it. Windows with names come a second time with the names as plain words,
@@ -100,24 +103,44 @@ def templates(lists: pa.ListArray, sizes: list[int]) -> Iterator[tuple[int, np.n
     name = (kind == CAPITAL) & ~starts
     firm = number | unit
     first = np.where(number, SLOTS[NUMBER], np.where(unit, SLOTS[UNIT], value))
+    plain = np.zeros(len(at), bool)
+    n_words = np.bincount(row, minlength=len(ends))
+    slots = np.concatenate([[0], np.cumsum(firm)])
+    leading = number | (kind == UNIT)
+    names = np.concatenate([[0], np.cumsum(name)])
     for size in sizes:
         n = max(0, len(at) - size + 1)
         begin = np.arange(n)
         whole = row[begin] == row[begin + size - 1]
-        for named in (name, np.zeros(len(at), bool)):
+        # a unit in front counts as a slot whatever stands before the window, so that copies agree
+        n_firm = slots[begin + size] - slots[begin + 1] + leading[begin]
+        exact = whole & ((size < SHORTEST) | (2 * n_firm > size) | (kind[begin] == UNIT))
+        if items:
+            exact &= n_words[row[begin]].clip(max=max(sizes)) == size
+        exact = begin[exact]
+        if len(exact):
+            # hashed word by word: few windows are of this kind
+            places = ragged(exact, np.full(len(exact), size, np.int64)).reshape(-1, size)
+            key = np.zeros(len(exact), np.uint64)
+            for k in range(size):
+                key = key * np.uint64(0x9E3779B97F4A7C15) + spread(value[places[:, k]])
+            key = spread(spread(key) + np.uint64(EXACT + size))
+            yield True, key.view(np.int64), row[exact], exact, _Values(value, plain, plain, size)
+        if size < SHORTEST:
+            continue
+        for named in (name, plain):
             canonical = np.where(named, SLOTS[CAPITAL], first)
             slot = np.concatenate([[0], np.cumsum(firm | named)])
             n_slots = slot[begin + size] - slot[begin + 1] + firm[begin]
             good = whole & (2 * n_slots <= size)
             if named is not name:
-                names = np.concatenate([[0], np.cumsum(name)])
                 good &= names[begin + size] > names[begin + 1]
             good = begin[good]
             if not len(good):
                 continue
             key = spread(first[:n]) * np.uint64(0x9E3779B97F4A7C15) + windows(canonical[1:], size - 1)[:n]
             key = spread(key + np.uint64(size))
-            yield size, key[good].view(np.int64), row[good], good, _Values(value, firm, named, size)
+            yield False, key[good].view(np.int64), row[good], good, _Values(value, firm, named, size)
 
 
 class _Values:
@@ -134,8 +157,8 @@ class _Values:
         return pa.ListArray.from_arrays(pa.array(np.arange(len(starts) + 1) * self.size, pa.int32()), pa.array(flat))
 
 
-def windowed(df: DataFrame, key: str, sizes: list[int], allowed=None) -> DataFrame:
-    """``key``, th, k (window hash), p (start), vals for each window of column ``words``; only
+def windowed(df: DataFrame, key: str, sizes: list[int], allowed=None, items: bool = False) -> DataFrame:
+    """``key``, th, k (window hash), p (start), vals, exact for each window of column ``words``; only
     those that the filter ``allowed`` lets through."""
     kind = df.schema[key].dataType.simpleString()
 
@@ -144,17 +167,17 @@ def windowed(df: DataFrame, key: str, sizes: list[int], allowed=None) -> DataFra
         for whole in batches:
             for cut in range(0, whole.num_rows, 2000):
                 batch = whole.slice(cut, 2000)
-                for _, k, row, start, values in templates(batch["words"], sizes):
+                for exact, k, row, start, values in templates(batch["words"], sizes, items):
                     if bits is not None:
                         slot = k.view(np.uint64) % np.uint64(FILTER_BITS)
                         pick = np.flatnonzero(bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)
                         k, row, start = k[pick], row[pick], start[pick]
                     if len(k):
                         at = pa.array(row)
-                        columns = [batch[key].take(at), batch["th"].take(at), pa.array(k), pa.array(start.astype(np.int64)), values.of(start)]
-                        yield pa.RecordBatch.from_arrays(columns, [key, "th", "k", "p", "vals"])
+                        columns = [batch[key].take(at), batch["th"].take(at), pa.array(k), pa.array(start.astype(np.int64)), values.of(start), pa.array(np.full(len(k), exact))]
+                        yield pa.RecordBatch.from_arrays(columns, [key, "th", "k", "p", "vals", "exact"])
 
-    return df.mapInArrow(run, f"{key} {kind}, th long, k long, p long, vals array<bigint>")
+    return df.mapInArrow(run, f"{key} {kind}, th long, k long, p long, vals array<bigint>, exact boolean")
 
 
 def stretch(windows: list[tuple[int, set]]) -> tuple[int, set]:
@@ -215,19 +238,21 @@ def matches(
     A document holds an item if one of its windows has the template of one of the item's, and all
     windows of that alignment agree on which parameter of the item stands for which of the document,
     one to one. Where they disagree, neighbouring windows that agree among themselves are enough if
-    they cover ``MAPPED`` words more than a window, or word for word ``COPIED`` more. n_windows and n_slots (distinct parameters) are those of the best alignment or
-    stretch; verbatim: its parameters are the item's. Null texts hold nothing and are held by nothing; rows
-    of one id and one text count once; items under ``SHORTEST`` words are never found.
+    they cover ``MAPPED`` words more than a window, or word for word ``COPIED`` more. n_windows and
+    n_slots (distinct parameters) are those of the best alignment or stretch; verbatim: its
+    parameters are the item's. Null texts hold nothing and are held by nothing; rows
+    of one id and one text count once. Items under ``SHORTEST`` words, and windows that are mostly
+    parameters, are found word for word only; an item without letter or digit is never found.
     """
     spark = docs.sparkSession
     small_batches(spark)
     items = benchmark.select(F.col(item_col).alias("item_id"), words(F.col(item_text_col)).alias("words"))
-    items = items.withColumn("th", F.lit(0).cast("long")).filter(F.size("words") >= SHORTEST)
-    sizes = list(range(SHORTEST, window + 1))
-    known = windowed(items, "item_id", sizes).withColumn("size", F.size("vals"))
+    items = items.withColumn("th", F.lit(0).cast("long")).filter("item_id IS NOT NULL")
+    sizes = list(range(1, window + 1))
+    known = windowed(items, "item_id", sizes, items=True).withColumn("size", F.size("vals"))
     # an item's windows are of its own length where that is less than the usual one
-    longest = known.groupBy("item_id").agg(F.max("size").alias("size"))
-    known = known.join(longest, ["item_id", "size"]).select("item_id", "size", "k", F.col("p").alias("q"), F.col("vals").alias("item_vals"))
+    longest = known.filter("NOT exact").groupBy("item_id").agg(F.max("size").alias("longest"))
+    known = known.join(longest, "item_id", "left").filter("exact OR size = longest").select("item_id", "size", "k", F.col("p").alias("q"), F.col("vals").alias("item_vals"))
     slots = known.select((F.expr(f"CASE WHEN k >= 0 THEN k % {FILTER_BITS} ELSE (k % {FILTER_BITS} + {FILTER_BITS}) % {FILTER_BITS} END")).alias("s"), "size").distinct()
     found = slots.toArrow()
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
@@ -236,7 +261,7 @@ def matches(
     sizes = sorted(set(found["size"].to_pylist()))
     text = F.col(text_col)
     df = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("th"), words(text).alias("words"))
-    hits = windowed(df, "doc_id", sizes, spark.sparkContext.broadcast(bits))
+    hits = windowed(df, "doc_id", sizes, spark.sparkContext.broadcast(bits)).drop("exact")
     pairs = hits.withColumn("size", F.size("vals")).join(known, ["k", "size"])
     both = F.filter(
         F.arrays_zip("item_vals", "vals"), lambda x: x["item_vals"] != 0

@@ -96,6 +96,19 @@ def test_a_conflict_removes_only_its_windows(spark):
     assert {d for d, i in found if i == 2} >= {1, 3}
 
 
+def test_exact_copies_of_every_item(spark):
+    items = {
+        1: "12 + 15 = 27, 30 - 4 = 26, 8 * 9 = 72, 5 + 6 = 11, 90 / 3 = 30", 2: "6 * 7 = 42", 3: "Name the capital.", 4: "km 5 7 9 m 3 4",
+        5: "5 km 3 kg 2 m 9 g and 7", 6: "What is 3 + 4 * 5 - 6 / 2 + 8, Tom?",
+    }
+    docs = {i: f"Some words first {i} then: {t} And more after that." for i, t in items.items()}
+    docs |= {11: items[1].replace("26", "27").replace("11", "12").replace("72", "71"), 12: "6 * 7 = 43", 13: "the capital name"}
+    frame = lambda d, key: spark.createDataFrame(list(d.items()), f"{key} long, text string")
+    found = decontam.matches(frame(docs, "doc_id"), frame(items, "item_id")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} >= {(i, i) for i in items}
+    assert not {r.doc_id for r in found} & {11, 12, 13}
+
+
 def test_stretches():
     windows = [(0, {(1, 1)}), (1, {(1, 1), (2, 2)}), (2, {(2, 2)}), (3, {(2, 3)}), (5, set()), (6, {(2, 3)})]
     assert decontam.stretch(windows) == (3, {(1, 1), (2, 2)})
