@@ -15,9 +15,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without runs of lines that occur earlier; rows that lose all their lines go. n_chars
-    is that of the shortened text."""
-    kept = lines.dedup(docs)
+    """Texts without runs of lines, or single long lines, that occur earlier; rows that lose all
+    their lines go. n_chars is that of the shortened text."""
+    kept = lines.dedup(docs, long_words=lines.LONG_WORDS)
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 

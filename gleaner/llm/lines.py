@@ -17,16 +17,20 @@ MIN_LINES = 2
 #: Lines in a gram. A window of MIN_LINES - GRAM + 1 grams gives its smallest hash as fingerprint,
 #: so every run of MIN_LINES lines holds a fingerprint that its earlier copy has as well.
 GRAM = 1
+#: A single line of more words than this is deleted as well where ``long_words`` asks for it.
+LONG_WORDS = 50
 
 BLANK = " \t\x0b\x0c\r"
 
 
-def hashed_lines(text: Column) -> Column:
-    """(p, h) of every line with a word: its place among all lines, and its hash."""
+def hashed_lines(text: Column, worded_too: bool = False) -> Column:
+    """(p, h) of every line with a word: its place among all lines, and its hash; with
+    ``worded_too`` also x, the line itself."""
     lines = F.split(F.coalesce(text, F.lit("")), "\n")
     trimmed = F.transform(lines, lambda x, p: F.struct(p.alias("p"), F.btrim(x, F.lit(BLANK)).alias("x")))
     worded = F.filter(trimmed, lambda s: s["x"] != "")
-    return F.transform(worded, lambda s: F.struct(s["p"].alias("p"), F.xxhash64(s["x"]).alias("h")))
+    more = lambda s: [s["x"].alias("x")] if worded_too else []
+    return F.transform(worded, lambda s: F.struct(s["p"].alias("p"), F.xxhash64(s["x"]).alias("h"), *more(s)))
 
 
 def fingerprints(docs: DataFrame, min_lines: int, gram: int) -> DataFrame:
@@ -61,9 +65,21 @@ def fingerprints(docs: DataFrame, min_lines: int, gram: int) -> DataFrame:
     )
 
 
-def repeated_runs(docs: DataFrame, min_lines: int, gram: int) -> DataFrame:
+def long_lines(docs: DataFrame, long_words: int) -> DataFrame:
+    """Each line of more than ``long_words`` words as a fingerprint of its own and a run of one line."""
+    many = F.filter("lines", lambda s: F.regexp_count(s["x"], F.lit(r"[^\x20\x09-\x0D]+")) > long_words)
+    # hashed with a mark, so that it never meets a gram or a run of min_lines
+    df = docs.select("d", "th", F.explode(many).alias("r")).withColumn("g", F.xxhash64(F.lit("long"), "r.h"))
+    run = F.struct(F.col("g").alias("w"), F.col("r.p").alias("s"), F.col("r.p").alias("a"), F.col("r.p").alias("b"))
+    return df.select("d", "th", "g", F.array(run).alias("around"))
+
+
+def repeated_runs(docs: DataFrame, min_lines: int, gram: int, long_words: int | None = None) -> DataFrame:
     """(d, th, cut): per document the lines, as (a, b) with both ends, that repeat earlier ones."""
-    found = staged(fingerprints(docs, min_lines, gram), "line-fingerprints")
+    found = fingerprints(docs, min_lines, gram)
+    if long_words is not None:
+        found = found.unionByName(long_lines(docs, long_words))
+    found = staged(found, "line-fingerprints")
     several = found.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1").select("g")
     # a fingerprint that occurs once lies in no repeated run; round the others the match is
     # extended both ways, run by run
@@ -75,12 +91,14 @@ def repeated_runs(docs: DataFrame, min_lines: int, gram: int) -> DataFrame:
 
 
 def marked(
-    docs: DataFrame, min_lines: int = MIN_LINES, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+    docs: DataFrame, min_lines: int = MIN_LINES, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
+    long_words: int | None = None,
+) -> DataFrame:
     """``docs`` with a struct column ``line_dedup``: kept (text), n_lines, n_removed.
 
     Every line inside a run of ``min_lines`` lines whose sequence starts earlier (smaller id, or the
-    same document) is removed, with the blank lines inside the run. Runs are judged on the input,
+    same document) is removed, with the blank lines inside the run. With ``long_words`` so is every
+    single line of more words than that which stands earlier, in texts of one line too. Runs are judged on the input,
     not on what is left. A null text stays null and has no lines; an empty table gives an empty one.
     Columns of any name pass through, except one called ``line_dedup``, which is replaced.
     """
@@ -88,7 +106,7 @@ def marked(
         raise ValueError("1 <= gram <= min_lines")
     names = [c for c in docs.columns if c != "line_dedup"]
     key = lambda: (F.col(id_col).alias("d"), F.xxhash64(text_col).alias("th"))
-    cuts = repeated_runs(docs.select(*key(), hashed_lines(F.col(text_col)).alias("lines")), min_lines, gram)
+    cuts = repeated_runs(docs.select(*key(), hashed_lines(F.col(text_col), long_words is not None).alias("lines")), min_lines, gram, long_words)
     df = docs.select(F.struct(*names).alias("row"), *key()).alias("doc")
     df = df.join(cuts.alias("cuts"), F.expr("doc.d <=> cuts.d AND doc.th = cuts.th"), "left")
     text = F.col("row")[text_col]
@@ -110,10 +128,11 @@ def marked(
 
 
 def dedup(
-    docs: DataFrame, min_lines: int = MIN_LINES, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+    docs: DataFrame, min_lines: int = MIN_LINES, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
+    long_words: int | None = None,
+) -> DataFrame:
     """``docs`` with the repeated runs deleted; documents that lose all their lines go."""
-    df = marked(docs, min_lines, gram, id_col, text_col)
+    df = marked(docs, min_lines, gram, id_col, text_col, long_words)
     info = F.col("line_dedup")
     emptied = (info["n_removed"] > 0) & (info["n_removed"] == info["n_lines"])
     text = info["kept"].alias(text_col)

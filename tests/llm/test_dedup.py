@@ -4,6 +4,7 @@ import pytest
 from brute import components, shingles, substrings
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from gleaner.llm import lines, neardup
 from gleaner.llm.components import components as connected
 from gleaner.llm.fmindex import FMIndex
@@ -78,6 +79,21 @@ def test_lines(spark, t, gram):
     assert lines.dedup(df, t, gram).columns == df.columns and lines.dedup(df.limit(0)).count() == 0
 
 
+def test_long_single_lines(spark):
+    long, other, short = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("a", 51), ("b", 60), ("c", 50)))
+    rows = [
+        (1, f"first\n{long}\nlast"), (2, f"x\n\n {long}\t\ny"), (3, long), (4, other), (5, other), (6, f"{short}\nu"), (7, f"v\n{short}"),
+        (8, f"p\n{other}\nq\n{other}"), (9, "d " * 51 + "\ne\n" + "d " * 51), (10, None), (11, ""),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = dict(rows) | {2: "x\n\ny", 8: "p\nq", 9: "d " * 51 + "\ne"}
+    got = lines.dedup(df, long_words=lines.LONG_WORDS)
+    assert {r.doc_id: r.text for r in got.collect()} == {k: v for k, v in want.items() if k not in (3, 5)}
+    assert {r.doc_id: r.text for r in lines.dedup(df).collect()} == dict(rows)
+    after = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_lines(spark, df.selectExpr("*", "0L AS n_chars"), "").collect()}
+    assert after[2] == want[2] and 3 not in after and 5 not in after
+
+
 def test_components(spark):
     random.seed(3)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 90 + i) for i in range(9)] + [(random.randint(200, 400), random.randint(200, 400)) for _ in range(90)]
