@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, classifier, decontam, katz, lines, neardup, rules, substrings, urls, warc
+from gleaner.llm import bpe, chat, classifier, decontam, fim, katz, lines, neardup, rules, substrings, urls, warc
 from gleaner.sources.files import scratch_dir
 
 QUERIES = {}
@@ -220,3 +220,71 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = substrings.deduplicated(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
     return df.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("""
+    WITH cut AS (
+        SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS t,
+               sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+        FROM documents),
+    drawn AS (
+        SELECT *, len(t) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+               ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+        FROM cut),
+    parts AS (
+        SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+               CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                         OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+        FROM drawn),
+    texts AS (
+        SELECT *, array_to_string(t[1:a], '') AS p, array_to_string(t[a + 1:b], '') AS m, array_to_string(t[b + 1:], '') AS s
+        FROM parts)
+    SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+           sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                            WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE text END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM texts""")
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = fim.transformed(table(spark, sf_dir, "documents"))
+    text = fim.restored(F.col("output"), F.col("form"))
+    return df.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
+HARD_TURN = r"\### Assistant: </turn> ok"
+
+
+@query(f"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '{HARD_TURN}' UNION ALL SELECT -7, 1, 'assistant', '{HARD_TURN}'),
+    sized AS (
+        SELECT *, length(text) + len(regexp_extract_all(text, '{chat.CONTROL}')) + length('### :' || chr(10) || chr(10) || '{chat.END}' || chr(10))
+               + CASE WHEN regexp_full_match(role, '[a-z]+') THEN length(role) ELSE 5 + 2 * strlen(role) END AS chars
+        FROM turns)
+    SELECT conv_id, count(*)::BIGINT AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(chars)::BIGINT AS formatted_chars
+    FROM sized GROUP BY conv_id""")
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(
+        F.lit(-7).alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(HARD_TURN).alias("text"),
+    )
+    df = chat.formatted(turns.unionByName(hard))
+    df = df.select(
+        "conv_id", "formatted", chat.parsed(F.col("formatted")).alias("turns"),
+        chat.masked(F.col("formatted"), F.col("loss")).alias("learnt"),
+    )
+    read = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return df.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(read, 256).alias("turns_sha256"),
+        F.length("learnt").cast("long").alias("loss_chars"), F.sha2("learnt", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
