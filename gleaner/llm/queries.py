@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, chat, classifier, decontam, fim, katz, lines, neardup, rules, substrings, urls, warc
+from gleaner.llm import audit, bpe, chat, classifier, decontam, fim, katz, lines, neardup, rules, substrings, urls, warc
 from gleaner.sources.files import scratch_dir
 
 QUERIES = {}
@@ -288,3 +288,42 @@ def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("learnt").cast("long").alias("loss_chars"), F.sha2("learnt", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query(f"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+        FROM documents),
+    t AS (
+        SELECT r, lang, source, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+        FROM d),
+    kept AS (
+        SELECT lang, term, count(*) AS lang_n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= {audit.LEAST_DOCS}),
+    counts AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+    langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+    totals AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL),
+    sources AS (
+        SELECT lang, source, coalesce(total, 0)::HUGEINT AS total, coalesce(v, 0)::HUGEINT AS v,
+               coalesce(lang_total, 0)::HUGEINT AS lang_total
+        FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN langs USING (lang) LEFT JOIN totals USING (lang, source)),
+    shares AS (
+        SELECT s.lang, s.source, k.term, coalesce(n, 0) AS n, 1 + {audit.SCALE} * (coalesce(n, 0) + 2)::HUGEINT // (total + 2 * v) AS p,
+               1 + {audit.SCALE} * (lang_n + 2)::HUGEINT // (lang_total + 2 * v) AS q
+        FROM sources s JOIN kept k ON s.lang = k.lang
+        LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+    pairs AS (
+        SELECT s.lang, s.source, o.source AS item, coalesce(value, 0)::BIGINT AS value
+        FROM sources s JOIN sources o ON s.lang = o.lang AND s.source <> o.source
+        LEFT JOIN (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+            FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) x
+        ON x.lang = s.lang AND x.source = s.source AND x.item = o.source),
+    terms AS (
+        SELECT lang, source, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM shares WHERE n > 0 AND p > q)
+    SELECT lang, source, part, item, value, rank FROM (
+        SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+        FROM (SELECT *, 'pair' AS part FROM pairs UNION ALL BY NAME SELECT *, 'term' AS part FROM terms))
+    WHERE part = 'pair' OR rank <= {audit.TOP}""")
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audited(table(spark, sf_dir, "documents"))
