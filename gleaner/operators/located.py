@@ -8,14 +8,15 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner.functions.geodesy import distance_km
+from gleaner.operators import leastnorm, ranks
 from gleaner.sources.files import staged
 
-# attributes of a message at a station, in the order of the matrix columns
+# fixed values: attributes of a message at a station, in the order of the matrix columns
 ATTRIBUTES = ("nseq", "rssi", "time_ux", "lat", "lng", "bs_lat", "bs_lng", "distance")
 # ridge for rank-deficient station matrices
 TINY_RIDGE = 1e-8
@@ -82,6 +83,28 @@ def feature_matrix(located: DataFrame, ids: list, attributes=MODEL_ATTRIBUTES) -
     return pivoted.select("messid", *columns)
 
 
+def numbered_stations(*tables: DataFrame) -> DataFrame:
+    """(bsid, slot): every station heard in any of the tables with its number, in order. Numbered by
+    ranges, so that a station table of any size is never in one task."""
+    heard = reduce(DataFrame.union, (t.select("bsid") for t in tables)).distinct()
+    return ranks.numbered_rows(heard.select(F.lit(0).alias("net"), "bsid"), "net", "bsid", name="slot").select("bsid", "slot")
+
+
+def incidence_cells(messages: DataFrame, numbered: DataFrame) -> DataFrame:
+    """(messid, slot) of every station that heard a message: the ones of :func:`incidence`, for
+    networks of any size."""
+    return messages.select("messid", "bsid").distinct().join(numbered, "bsid").select("messid", "slot")
+
+
+def matrix_cells(located: DataFrame, numbered: DataFrame, attributes=MODEL_ATTRIBUTES) -> DataFrame:
+    """The matrix of :func:`feature_matrix` as (messid, slot, value), for networks of any size. The
+    attributes of station number n have the slots from n times their number on; no row stands for a zero."""
+    rows = last_per_station(located, attributes).join(numbered, "bsid")
+    cells = rows.select("messid", F.col("slot").alias("station"), F.posexplode(F.array(*attributes)).alias("pos", "value"))
+    slot = (F.col("station") * len(attributes) + F.col("pos")).cast("long")
+    return cells.filter("value <> 0").select("messid", slot.alias("slot"), "value")
+
+
 def sparse_features(located: DataFrame, heard: DataFrame, attributes=MODEL_ATTRIBUTES) -> DataFrame:
     """The same matrix as one sparse vector per message, for any number of stations.
 
@@ -91,8 +114,7 @@ def sparse_features(located: DataFrame, heard: DataFrame, attributes=MODEL_ATTRI
     no row leaves the JVM.
     """
     width = len(attributes)
-    # the window runs over the station table, one row per station
-    numbered = heard.select("bsid", (F.row_number().over(Window.orderBy("bsid")) - 1).alias("slot"))
+    numbered = numbered_stations(heard).select("bsid", F.col("slot").cast("int"))
     entry = F.struct("slot", F.array(*attributes).alias("cells"))
     rows = last_per_station(located, attributes).join(numbered, "bsid")
     entries = rows.groupBy("messid").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
@@ -143,6 +165,15 @@ def out_of_fold(rows: DataFrame, folds: int, ridge: float = 0.0) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def matrix_predictions(cells: DataFrame, rows: DataFrame, folds: list) -> DataFrame:
+    """Positions of the messages in the given folds by least-norm models of the whole station matrix, each
+    fitted on the rows outside its fold. ``cells`` as of :func:`matrix_cells`; ``rows``: messid, fold, lat, lng."""
+    named = cells.withColumnRenamed("messid", "key"), rows.withColumnRenamed("messid", "key")
+    model = leastnorm.fit(*named, ["lat", "lng"], folds)
+    held = named[1].filter(F.col("fold").isin(folds))
+    return leastnorm.predict(model, named[0], held).withColumnRenamed("key", "messid")
+
+
 def distance_errors(rows: DataFrame, *keep: str) -> DataFrame:
     """Error in metres between (lat, lng) and (pred_lat, pred_lng)."""
     metres = distance_km(*(F.col(c) for c in ("lat", "lng", "pred_lat", "pred_lng"))) * 1000.0

@@ -4,7 +4,7 @@ sorting a whole table in one task."""
 from __future__ import annotations
 
 import math
-from itertools import pairwise
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -154,6 +154,35 @@ def numbered_rows(df: DataFrame, key: str, *order: str, name: str = "at") -> Dat
     return placed.join(offsets, same).select(*df.columns, (F.col("place") + F.col("shift")).alias(name))
 
 
+def forward_fill(df: DataFrame, keys: list[str], order: list[str], columns: list[str], nested: bool = False) -> DataFrame:
+    """``df`` with the nulls of ``columns`` replaced by the last value above them, in ``order`` within ``keys``.
+
+    Keys of any size, or none: rows are range-partitioned by key and order and written once; each partition's
+    last values are carried on to the partitions after it, by a window over one row per key and partition.
+    Inside a partition the fill is a window of its own. With ``nested`` a column starts anew where one before it has a
+    value. Nulls above the first value stay. ``order`` must make the rows of a key distinct.
+    """
+    sheet, part, at = "_sheet", "_part", "_at"
+    ranged = df.withColumn(sheet, F.struct(F.lit(0), *keys)).repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    placed = ranged.withColumns({part: F.spark_partition_id(), at: F.monotonically_increasing_id()})
+    marks = {}
+    for n, c in enumerate(columns):
+        given = [F.col(x).isNotNull() for x in (columns[: n + 1] if nested else [c])]
+        # the place comes first, so the greatest mark is the last one
+        marks[f"_mark{n}"] = F.when(reduce(Column.__or__, given), F.struct(F.col(at).alias("at"), F.col(c).alias("value")))
+    placed = staged(placed.withColumns(marks), "filled")
+    earlier = Window.partitionBy(sheet).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    ends = placed.groupBy(sheet, part).agg(*(F.max(m).alias(m) for m in marks))
+    carried = ends.select(
+        F.col(sheet).alias("_of"), F.col(part).alias("_in"), *(F.max(m).over(earlier).alias(f"{m}_before") for m in marks)
+    )
+    above = Window.partitionBy(sheet, part).orderBy(at).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = placed.withColumns({m: F.max(m).over(above) for m in marks})
+    joined = inside.join(carried, (F.col(sheet) == F.col("_of")) & (F.col(part) == F.col("_in")))
+    filled = {c: F.coalesce(m, f"{m}_before")["value"] for c, m in zip(columns, marks, strict=True)}
+    return joined.select(*(filled[c].alias(c) if c in filled else F.col(f"`{c}`") for c in df.columns))
+
+
 def moving_average(
     df: DataFrame, key: str, order: list[str], value: str, rows: int, block: int = 100_000
 ) -> DataFrame:

@@ -109,17 +109,24 @@ def links(pages: DataFrame, *keep: str, first: int | None = None) -> DataFrame:
 
 
 def table_rows(pages: DataFrame, *keep: str, first: int | None = None) -> DataFrame:
-    """(pos, row) per body row of the first table of each page, optionally the first few."""
-    table = H.before(H.nth_block(F.col("html"), H.tag("table"), 0), "</table>")
-    body = H.before(H.nth_block(table, H.tag("tbody"), 0), "</tbody>")
-    rows = pages.select(*keep, F.posexplode(F.split(body, H.tag("tr"))).alias("pos", "row"))
-    numbered = rows.filter("pos > 0").withColumn("pos", F.col("pos") - 1)
-    return numbered if first is None else numbered.filter(F.col("pos") < first)
+    """(pos, row) per body row of the first table of each page, optionally the first few. Tables
+    inside a cell belong to their row."""
+    first_of = lambda source, name: H.nth(H.elements(F.col(source), H.tag(name), outermost=True), 0)
+    table = pages.select(*keep, first_of("html", "table").alias("table"))
+    body = table.select(*keep, first_of("table", "tbody").alias("body"))
+    found = H.elements(F.col("body"), H.tag("tr"), outermost=True)
+    rows = body.filter("body IS NOT NULL").select(*keep, F.posexplode(found).alias("pos", "row"))
+    return rows if first is None else rows.filter(F.col("pos") < first)
 
 
 def cell_text(row: Column, column: int) -> Column:
     """Text of a cell of a table row."""
-    return H.plain_text(H.before(H.nth_block(row, H.tag("t[dh]"), column), "</t[dh]>"))
+    return H.plain_text(H.nth(H.elements(row, H.tag("t[dh]"), outermost=True), column))
+
+
+def class_texts(pages: DataFrame, name: str, *keep: str) -> DataFrame:
+    """(pos, text) of every element of a class, each up to its own closing tag."""
+    return pages.select(*keep, F.posexplode(H.texts_by_class(F.col("html"), name)).alias("pos", "text"))
 
 
 def flattened_payloads(payloads: DataFrame, key: str = "payload_id") -> DataFrame:

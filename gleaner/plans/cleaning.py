@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gleaner.functions import numbers, strings
 from gleaner.operators import prepare
 from gleaner.plans.registry import query
-from gleaner.sources import files
+from gleaner.sources import files, sheets
 
 PREPARED = """
 WITH typed AS (
@@ -68,6 +68,31 @@ def csv_null_marker(t):
     return files.read_csv(t.spark, path, schema=schema, null_marker="nc")
 
 
+@query(
+    """SELECT r_name AS "Region", n_name AS "Nation", c_custkey AS "Customer_key", c_mktsegment AS "Customer_segment",
+              c_acctbal AS "Customer_balance" FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
+)
+def sheet_two_headers(t):
+    """A sheet with two header rows whose region and nation stand in the first row of their block only."""
+    nations = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = t["customer"].join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    first_of = lambda key, name: rows.groupBy(key).agg(F.min(F.struct("n_regionkey", "c_nationkey", "c_custkey")).alias(name))
+    rows = rows.join(first_of("n_regionkey", "r_first"), "n_regionkey").join(first_of("c_nationkey", "n_first"), "c_nationkey")
+    place = F.struct("n_regionkey", "c_nationkey", "c_custkey")
+    shown = lambda name, first: F.when(F.col(first) == place, F.col(name)).otherwise("")
+    cells = [shown("r_name", "r_first"), shown("n_name", "n_first"), *(F.col(c) for c in ("c_custkey", "c_mktsegment", "c_acctbal"))]
+    lines = rows.select(place.alias("place"), F.concat_ws(",", *cells).alias("line"))
+    none = F.lit(None).cast(lines.schema["place"].dataType).alias("place")
+    heads = t.spark.range(2).select(none, F.when(F.col("id") == 0, "Region,Nation,Customer,,").otherwise(",,key,segment,balance").alias("line"))
+    path = files.scratch_dir(t.spark, "sheet")
+    # the header rows have no place and come first, the upper one begins with a letter
+    lines.unionByName(heads).orderBy("place", F.desc("line")).select("line").write.text(path)
+    sheet = sheets.read_sheet(t.spark, path, header_rows=2, index_columns=2)
+    return sheet.select(
+        "Region", "Nation", F.col("Customer_key").cast("long"), "Customer_segment", F.col("Customer_balance").cast("double")
+    )
+
+
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def parquet_roundtrip(t):
     return files.staged(t["customer"], "customer")

@@ -247,7 +247,8 @@ def geo_position_model(t):
         SELECT messid, {PREDICTED} FROM rows JOIN fit ON rows.fold = fit.fold""",
     views=("messages", "positions"),
 )
-def geo_oof_predictions(t):
+def geo_plain_oof(t):
+    """Two averaged columns instead of the matrix, so that SQL has the solution in closed form."""
     rows = plain_features(t)
     folded = rows.withColumn("fold", ranks.contiguous_folds(rows.select("messid"), FOLDS))
     # folds are key ranges: written in key order, each task touches one or two of them
@@ -261,8 +262,7 @@ def geo_oof_predictions(t):
         SELECT messid, {PREDICTED} FROM rows, fit WHERE NOT train""",
     views=("messages", "positions"),
 )
-def geo_submission(t):
-    """Fit on one part of the messages, place the others, write their positions as CSV."""
+def geo_plain_submission(t):
     train, test = prepare.split_rows(located.assembled(plain_features(t), PLAIN_FEATURES), "messid", 0.7, seed=100)
     placed = rounded(located.predict_positions(located.fit_positions(train), test))
     path = files.scratch_dir(t.spark, "positions")
@@ -270,6 +270,110 @@ def geo_submission(t):
     return files.read_csv(t.spark, path, schema="messid long, pred_lat double, pred_lng double")
 
 
+# -- the whole station matrix: positions that are linear in it are found exactly -----------
+
+
+def matrix_cells(t):
+    return files.staged(located.matrix_cells(located_messages(t), located.numbered_stations(t["messages"])), "cells")
+
+
+def surveyed_folds(t):
+    rows = files.staged(t["surveyed"], "surveyed")
+    return rows.withColumn("fold", ranks.contiguous_folds(rows.select("messid"), FOLDS))
+
+
+def held_out_positions(t):
+    """Every message by the model of the other nine folds."""
+    placed = located.matrix_predictions(matrix_cells(t), surveyed_folds(t), list(range(FOLDS)))
+    return placed.select("messid", *(F.round(f"pred_{y}", 5).alias(f"pred_{y}") for y in ("lat", "lng")))
+
+
+SURVEYED = "SELECT messid, lat AS pred_lat, lng AS pred_lng FROM surveyed"
+
+
+@query(SURVEYED, views=("surveyed",))
+def geo_oof_predictions(t):
+    return held_out_positions(t)
+
+
+@query(
+    SURVEYED + " WHERE substr(md5(concat('100:', messid)), 1, 8) >= 'b3333333'",
+    views=("surveyed",),
+)
+def geo_submission(t):
+    """Fit on one part of the messages, place the others, write their positions as CSV."""
+    train, test = prepare.split_rows(t["surveyed"], "messid", 0.7, seed=100)
+    rows = files.staged(train.withColumn("fold", F.lit(0)).unionByName(test.withColumn("fold", F.lit(1))), "surveyed")
+    placed = located.matrix_predictions(matrix_cells(t), rows, [1])
+    path = files.scratch_dir(t.spark, "positions")
+    files.write_csv(placed.select("messid", F.round("pred_lat", 5).alias("pred_lat"), F.round("pred_lng", 5).alias("pred_lng")), path)
+    return files.read_csv(t.spark, path, schema="messid long, pred_lat double, pred_lng double")
+
+
+HELD_OUT = f"""SELECT messid, p.lat AS lat, p.lng AS lng, s.lat AS pred_lat, s.lng AS pred_lng FROM surveyed s
+    JOIN (SELECT messid, avg(lat) AS lat, avg(lng) AS lng FROM ({LOCATED}) GROUP BY messid) p USING (messid)"""
+HELD_OUT_ERRORS = (
+    vincenty_sql(f"SELECT messid AS id, lat AS la1, lng AS lo1, pred_lat AS la2, pred_lng AS lo2 FROM ({HELD_OUT})")
+    + ", errors AS (SELECT id AS messid, round(km * 1e3, 1) AS error_m FROM km)"
+)
+
+
+def held_out_errors(t):
+    """Metres between a held-out prediction and where the receivers put the message."""
+    rows = held_out_positions(t).join(located.ground_truth(located_messages(t)), "messid")
+    return located.distance_errors(rows, "messid").withColumn("error_m", F.round("error_m", 1))
+
+
+@query(HELD_OUT_ERRORS + " SELECT messid, error_m FROM errors", views=("messages", "positions", "surveyed"))
+def geo_oof_errors(t):
+    return held_out_errors(t)
+
+
+@query(
+    HELD_OUT_ERRORS
+    + f""", edges AS (SELECT min(error_m) AS low, max(error_m) AS high, quantile_cont(error_m, 0.8) AS p80 FROM errors),
+    counts AS (SELECT least({BINS - 1}, CAST(floor((error_m - low) / (high - low) * {BINS}) AS BIGINT)) AS bin, count(*) AS n
+               FROM errors, edges GROUP BY 1)
+    SELECT bin, round(sum(n) OVER (ORDER BY bin) / (SELECT sum(n) FROM counts) * 1e2, 6) AS cum_percent, round(p80, 4) AS p80
+    FROM counts, edges""",
+    views=("messages", "positions", "surveyed"),
+)
+def geo_oof_cdf(t):
+    """Share of messages up to each occurring error, next to the 80th percentile."""
+    errors = files.staged(held_out_errors(t).select("error_m"), "errors")
+    shares = ranks.cumulative_share(ranks.histogram(errors, BINS)).filter("n > 0")
+    p80 = F.lit(round(ranks.exact_percentile(errors, 0.8), 4)).alias("p80")
+    return shares.select("bin", F.round("cum_percent", 6).alias("cum_percent"), p80)
+
+
+NUMBERED = "numbered AS (SELECT bsid, row_number() OVER (ORDER BY bsid) - 1 AS station FROM (SELECT DISTINCT bsid FROM messages))"
+
+
+@query(
+    f"WITH {NUMBERED} SELECT DISTINCT messid, station AS slot FROM messages JOIN numbered USING (bsid)", views=("messages",)
+)
+def geo_incidence_cells(t):
+    return located.incidence_cells(t["messages"], located.numbered_stations(t["messages"]))
+
+
+@query(
+    f"""WITH {NUMBERED}, latest AS (
+        SELECT messid, station, """
+    + ", ".join(f"CAST(max_by({a}, row_key) AS DOUBLE) AS v{n}" for n, a in enumerate(located.MODEL_ATTRIBUTES))
+    + f""" FROM ({LOCATED}) JOIN numbered USING (bsid) GROUP BY messid, station),
+    cells AS ("""
+    + " UNION ALL ".join(
+        f"SELECT messid, station * {len(located.MODEL_ATTRIBUTES)} + {n} AS slot, v{n} AS value FROM latest"
+        for n in range(len(located.MODEL_ATTRIBUTES))
+    )
+    + ") SELECT * FROM cells WHERE value <> 0",
+    views=("messages", "positions"),
+)
+def geo_matrix_cells(t):
+    """The wide matrix in long form: no column per station, so no bound on their number."""
+    return located.matrix_cells(located_messages(t), located.numbered_stations(t["messages"]))
+
+
 @query()
 def geo_sparse_model(t):
     """The same as :func:`geo_matrix_model` for networks too large for one column per station."""

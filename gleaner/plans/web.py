@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gleaner.functions import html as H
-from gleaner.functions.numbers import marked_down_price, shop_price
 from gleaner.functions.strings import login_of
 from gleaner.operators import webpages
 from gleaner.plans.registry import query
@@ -68,14 +66,30 @@ PRICES = """WITH found AS (SELECT offer_id, brand,
                        lambda x: CAST(replace(x, ',', '.') AS DOUBLE)) AS marked FROM offers)"""
 
 
-@query(PRICES + " SELECT offer_id, prices[1] AS price, marked[1] AS marked_down FROM found", views=("offers",))
+def one_kind(name: str) -> str:
+    return f"SELECT offer_id, '{name}' AS kind, unnest({name}) AS price, CAST(unnest(range(len({name}))) AS INTEGER) AS pos FROM found"
+
+
+@query(f"{PRICES} {one_kind('prices')} UNION ALL {one_kind('marked')}", views=("offers",))
 def parse_prices(t):
-    html = F.col("html")
-    return t.spread("offers", "offer_id").select(
-        "offer_id",
-        shop_price(H.nth(H.texts_by_class(html, webpages.PRICE_CLASS), 0)).alias("price"),
-        marked_down_price(H.nth(H.texts_by_class(html, webpages.MARKED_DOWN_CLASS), 0)).alias("marked_down"),
+    """Every price of an offer, list prices and marked-down ones, in the order of the page."""
+    offers = webpages.priced_offers(t.spread("offers", "offer_id"), "offer_id")
+    kind = lambda name, column: F.transform(
+        column, lambda price, pos: F.struct(F.lit(name).alias("kind"), pos.alias("pos"), price.alias("price"))
     )
+    return offers.select("offer_id", F.inline(F.concat(kind("prices", "prices"), kind("marked", "marked_down"))))
+
+
+@query(
+    """SELECT offer_id, 0 AS pos, concat(size, brand, 'x') AS text FROM nested_offers
+       UNION ALL SELECT offer_id, 1, kind FROM nested_offers
+       UNION ALL SELECT offer_id, 2, kind FROM nested_offers WHERE offer_id % 3 = 0
+       UNION ALL SELECT offer_id, CASE WHEN offer_id % 3 = 0 THEN 3 ELSE 2 END, concat('open ', brand) FROM nested_offers""",
+    views=("nested_offers",),
+)
+def nested_texts(t):
+    """Elements that hold elements of their own tag, of their own class, void and unclosed ones."""
+    return webpages.class_texts(t.spread("nested_offers", "offer_id"), webpages.PRICE_CLASS, "offer_id")
 
 
 @query(

@@ -53,6 +53,15 @@ VIEWS = {
                3955e-2 + ((event_id - event_id % 4) % 97) * 5e-3 AS lat,
                -1048e-1 + ((event_id - event_id % 4) % 89) * 6e-3 AS lng
         FROM $events""",
+    # positions that are linear in what the stations of a message report last, to five decimals
+    "surveyed": """
+        SELECT messid, round(39e0 + sum(1e-3 * bs_lat + 1e-3 * rssi + 2e-3 * nseq), 5) AS lat,
+               round(-105e0 + sum(2e-3 * bs_lng - 3e-3 * rssi + 1e-3 * nseq), 5) AS lng
+        FROM (SELECT event_id - event_id % 4 AS messid, user_id % 12 AS bsid,
+                     max_by(event_id % 4, event_id) AS nseq, max_by(round(-60 - value, 2), event_id) AS rssi,
+                     39e0 + 5e-1 + (user_id % 12) * 5e-2 AS bs_lat, -105e0 + (user_id % 12) * 7e-2 AS bs_lng
+              FROM $events GROUP BY 1, 2, 5, 6)
+        GROUP BY messid""",
     # shop result lists
     "offers": """
         SELECT p_partkey AS offer_id, p_brand AS brand,
@@ -62,6 +71,14 @@ VIEWS = {
                                        replace(CAST(round(p_retailprice * 9e-1, 2) AS STRING), '.', ','), '€</span>')
                            ELSE '' END, '</li>') AS html
         FROM $part""",
+    # offers whose elements hold elements of their own tag or class; the last one is never closed
+    "nested_offers": """
+        SELECT p_partkey AS offer_id, CAST(p_size AS STRING) AS size, p_brand AS brand, p_type AS kind,
+               concat('<div class="box"><div class="price">', CAST(p_size AS STRING), '<div>', p_brand, '<br></div><!-- </div> -->',
+                      '<span>x</span></div><div class=''new price''>',
+                      CASE WHEN p_partkey % 3 = 0 THEN concat('<div class=price>', p_type, '</div>') ELSE p_type END,
+                      '</div>after</div><p class="price">open ', p_brand) AS html
+        FROM $part""",
     # places with coordinates
     "geo_nations": """
         SELECT n_nationkey, n_name, -60e0 + n_nationkey * 5e0 AS lat, -170e0 + n_nationkey * 13e0 AS lng

@@ -22,8 +22,8 @@ def test_lenient_int(spark):
 
 
 def test_localised_numbers(spark):
-    assert mapped(spark, ["13,667.70", " 5 ", "--"], numbers.millions) == [13667700000.0, 5000000.0, None]
-    assert mapped(spark, ["20.57%", "-1.5%", "%"], numbers.percentage) == [20.57, -1.5, None]
+    assert mapped(spark, ["4,081.25", " 7 ", "n/a"], numbers.millions) == [4081250000.0, 7000000.0, None]
+    assert mapped(spark, ["3.04%", "-0.5%", "%"], numbers.percentage) == [3.04, -0.5, None]
     assert mapped(spark, ["1299€99", "1 299,99", "x"], numbers.shop_price) == [1299.99, 1299.99, None]
     assert mapped(spark, ["999,99€", "12€", "€"], numbers.marked_down_price) == [999.99, 12.0, None]
 
@@ -52,9 +52,9 @@ def test_rewrite_span(spark):
 
 
 def test_login_and_name(spark):
-    given = ["login (user name)", "unicodeveloper (Prosper Otemuyiwa)", "atian25 (TZ | 天猪)", "plain"]
-    assert mapped(spark, given, strings.login_of) == ["login", "unicodeveloper", "atian25", "plain"]
-    assert mapped(spark, given, strings.full_name_of) == ["user name", "Prosper Otemuyiwa", "TZ | 天猪", None]
+    given = ["kiwi-7 (Ada Moss)", "zed (Zoë | 北)", "nobody"]
+    assert mapped(spark, given, strings.login_of) == ["kiwi-7", "zed", "nobody"]
+    assert mapped(spark, given, strings.full_name_of) == ["Ada Moss", "Zoë | 北", None]
 
 
 def test_tokens(spark):
@@ -81,6 +81,32 @@ def test_elements_by_class(spark):
     assert mapped(spark, [page, None, "<p>none</p>"], lambda s: H.texts_by_class(s, "price")) == [["1 299&", "7"], None, []]
 
 
+NESTED = [
+    ('<div class="price">1<div>x</div>2</div>', ["1x2"]),
+    ('<div class=price>1<br>2<div class="price">in<img/></div>3</div>z', ["12in3", "in"]),
+    ("<p class=price>open<b>x", ["openx"]),
+    ('<br class="price">z', [""]),
+    ("<DIV class=price>a<!-- </div> -->b<script>\"</div>\"</script>c</div>d", ["abc"]),
+    ('</div><div class="price">1</div></div>', ["1"]),
+    ('<ul><li class="price">a<ul><li>b</li></ul></li><li class="price">c</ul>', ["ab", "c"]),
+    ("<i class=price></i>" * 300, [""] * 300),
+    ("<div class=price>" + "<div>" * 400 + "x" + "</div>" * 401 + "y", ["x"]),
+    ("", []), (None, None),
+]
+
+
+def test_elements_end_at_their_own_tag(spark):
+    got = mapped(spark, [page for page, _ in NESTED], lambda s: H.texts_by_class(s, "price"))
+    assert got == [texts for _, texts in NESTED]
+
+
+def test_outermost_elements(spark):
+    page = "<table><tr><td>1<table><tr><td>in</td></tr></table>2</td><th>3</th></tr><tr/></table>"
+    outer = mapped(spark, [page], lambda s: H.elements(s, H.tag("tr"), outermost=True))
+    assert outer == [["<td>1<table><tr><td>in</td></tr></table>2</td><th>3</th>"]]
+    assert len(mapped(spark, [page], lambda s: H.elements(s, H.tag("tr")))[0]) == 2
+
+
 def test_blocks(spark):
     page = '<div class="module">a<div>deep</div></div><div class="module">b</div>'
     second = lambda s: H.nth_block(s, H.class_tag("module", "div"), 1)

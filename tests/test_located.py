@@ -117,3 +117,26 @@ def test_a_thousand_stations(spark):
     assert rows.first()["features"].size == 5000
     models = located.fit_positions(rows, located.TINY_RIDGE, "l-bfgs")
     assert located.predict_positions(models, rows).filter("pred_lat IS NOT NULL AND pred_lng IS NOT NULL").count() == 2000
+
+
+def test_long_forms_equal_the_wide_ones(spark):
+    df = messages(spark)
+    numbered = located.numbered_stations(df)
+    assert {tuple(r) for r in numbered.collect()} == {(1, 0), (2, 1), (5, 2)}
+    wide = {r["messid"]: r for r in located.feature_matrix(df, [1, 2, 5]).collect()}
+    cells = {(r["messid"], r["slot"]): r["value"] for r in located.matrix_cells(df, numbered).collect()}
+    for message, row in wide.items():
+        dense = [row[f"{a}_{i}"] for i in (1, 2, 5) for a in located.MODEL_ATTRIBUTES]
+        assert [cells.get((message, slot), 0.0) for slot in range(15)] == dense
+    heard = {(r["messid"], r["slot"]) for r in located.incidence_cells(df, numbered).collect()}
+    assert heard == {(10, 0), (10, 1), (11, 2), (12, 0), (12, 2)}
+
+
+def test_five_thousand_stations_are_numbered_in_ranges(spark):
+    heard = spark.range(20000).selectExpr("id AS messid", "(id * 7919) % 5000 * 3 AS bsid")
+    numbered = located.numbered_stations(heard, heard)
+    rows = sorted((r["bsid"], r["slot"]) for r in numbered.collect())
+    assert rows == [(3 * n, n) for n in range(5000)]
+    text = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in text
+    assert located.incidence_cells(heard, numbered).count() == 20000

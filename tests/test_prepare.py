@@ -135,11 +135,11 @@ def test_pages_fixture(spark):
 
     pages = spark.createDataFrame(
         [
-            (1, '<table><tbody><tr><td>login (user name)</td></tr><tr><td>b</td></tr></tbody></table>'),
+            (1, '<table><tbody><tr><td>login (user name)</td></tr><tr><td>b<table><tr><td>c</td></tr></table></td></tr></tbody></table>'),
             (2, "<p>no table</p>"),
             (3, None),
         ],
         "id int, html string",
     )
     rows = webpages.table_rows(webpages.page_sources(pages), "id").select("id", "pos", webpages.cell_text(F.col("row"), 0))
-    assert [tuple(r) for r in rows.orderBy("id", "pos").collect()] == [(1, 0, "login (user name)"), (1, 1, "b")]
+    assert [tuple(r) for r in rows.orderBy("id", "pos").collect()] == [(1, 0, "login (user name)"), (1, 1, "bc")]

@@ -114,3 +114,21 @@ def test_keys_without_value_are_in_the_first_fold(spark):
 def test_share_of_nothing(spark):
     bins = spark.createDataFrame([(0, 0), (1, 0)], "bin long, n long")
     assert [r["cum_percent"] for r in ranks.cumulative_share(bins).collect()] == [None, None]
+
+
+@pytest.mark.parametrize(("keys", "nested"), [(["k"], False), ([], False), (["k"], True)])
+def test_forward_fill(spark, keys, nested):
+    rows = [(None if i < 20 else i // 90, i, None if i % 7 else f"a{i}", None if i % 3 else f"b{i}") for i in range(2, 300)]
+    df = spark.createDataFrame(rows[::-1], "k int, o int, a string, b string")
+    filled = ranks.forward_fill(df, keys, ["o"], ["a", "b"], nested)
+    got = {r["o"]: (r["a"], r["b"]) for r in filled.collect()}
+    last = {}
+    for k, o, a, b in rows:
+        above = last.setdefault(k if keys else 0, [None, None])
+        if nested and a is not None:
+            above[1] = None
+        above[:] = [a if a is not None else above[0], b if b is not None else above[1]]
+        assert got[o] == tuple(above)
+    assert filled.columns == df.columns and len(got) == len(rows)
+    assert ranks.forward_fill(df.limit(0), keys, ["o"], ["a"]).count() == 0
+    assert "SinglePartition" not in filled._jdf.queryExecution().executedPlan().toString()
