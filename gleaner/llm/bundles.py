@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.text import pack, pack_ranks, pack_words, small_batches, unpack, unpack_ranks
+from gleaner.llm.text import give_back, pack, pack_ranks, pack_words, small_batches, tidied, unpack, unpack_ranks
 from gleaner.sources.files import staged
 
 #: Words after which a bundle is closed; its documents are held in one task at a time.
@@ -149,7 +149,7 @@ def bundled(
         f"bundle long, bucket int, words binary, counts binary, keys array<{kind}>, sizes binary, "
         "tags binary, codes binary, totals binary, extra binary"
     )
-    table = df.mapInArrow(run, schema)
+    table = df.mapInArrow(tidied(run), schema)
     return staged(table, label) if stage else table
 
 
@@ -184,6 +184,9 @@ def assembled(table: DataFrame, replies: DataFrame, put: Callable, schema: str)
             words = by_frequency(blob("totals"))[unpack_ranks(row["codes"][0].as_py())].astype(np.int32)
             keys = row["keys"].combine_chunks().flatten()
             out.append(put(Bundle(row["bundle"][0].as_py(), keys, blob("sizes"), blob("tags"), words, buckets, replies)))
-        return pa.concat_tables(out)
+        made = pa.concat_tables(out)
+        del out, replies, group
+        give_back()
+        return made
 
     return docs.unionByName(own).groupBy("bundle").applyInArrow(one, schema)

@@ -10,16 +10,16 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.text import ragged, small_batches, spread, windows, words
+from gleaner.llm.text import ragged, small_batches, spread, tidied, windows, words
 
 #: Canonical words in a window; an item with fewer is one window, below SHORTEST one of verbatim words.
 WINDOW, SHORTEST = 10, 5
@@ -46,28 +46,25 @@ NUMBER_WORDS = [
 ]
 
 PLAIN, NUMBER, UNIT, CAPITAL, EMPTY = range(5)
-EDGES = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
-NUMERAL = regex.compile(r"\p{N}[\p{N}.,:/]*(%|\p{L}{1,3})?")
-STOPS = regex.compile(r"[.!?:;][^\p{L}\p{N}]*$")
+# in the syntax of the library that matches whole columns
+LEADING, TRAILING = r"^[^\p{L}\p{N}]+", r"[^\p{L}\p{N}]+$"
+NUMERAL = r"^\p{N}[\p{N}.,:/]*(%|\p{L}{1,3})?$"
+CAPITALISED, ALL_CAPITALS = r"^\p{Lu}", r"^.[^\p{Ll}]*\p{Lu}[^\p{Ll}]*$"
+STOPS = r"[.!?:;][^\p{L}\p{N}]*$"
 SLOTS = np.array([xxhash.xxh64_intdigest(x) for x in ("<plain>", "<number>", "<unit>", "<name>")], np.uint64)
 
 
-@lru_cache(maxsize=1 << 18)
-def features(word: str) -> tuple[int, int, bool]:
-    """Kind, hash of the bare lower-cased word, and whether a sentence ends with it."""
-    bare = EDGES.sub("", word)
-    low = bare.lower()
-    if not bare:
-        kind = EMPTY
-    elif NUMERAL.fullmatch(bare) or low in NUMBER_WORDS:
-        kind = NUMBER
-    elif low in UNITS:
-        kind = UNIT
-    elif bare[0].isupper() and not bare[1:].isupper():
-        kind = CAPITAL
-    else:
-        kind = PLAIN
-    return kind, xxhash.xxh64_intdigest(low), bool(STOPS.search(word))
+def features(table: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of distinct words: the kind, the hash of the bare lower-cased word, and whether a sentence ends with it."""
+    fits = lambda words, pattern: pc.match_substring_regex(words, pattern).to_numpy(zero_copy_only=False)
+    among = lambda words, known: pc.is_in(words, pa.array(known)).to_numpy(zero_copy_only=False)
+    bare = pc.replace_substring_regex(pc.replace_substring_regex(table, LEADING, ""), TRAILING, "")
+    low = pc.utf8_lower(bare)
+    empty = pc.equal(bare, "").to_numpy(zero_copy_only=False)
+    number = fits(bare, NUMERAL) | among(low, NUMBER_WORDS)
+    capital = fits(bare, CAPITALISED) & ~fits(bare, ALL_CAPITALS)
+    kind = np.select([empty, number, among(low, UNITS), capital], [EMPTY, NUMBER, UNIT, CAPITAL], PLAIN).astype(np.int8)
+    return kind, pd.util.hash_array(low.to_numpy(zero_copy_only=False), categorize=False), fits(table, STOPS)
 
 
 def templates(lists: pa.ListArray, sizes: list[int], items: bool = False) -> Iterator[tuple[bool, np.ndarray, np.ndarray, np.ndarray, _Values]]:
@@ -84,11 +81,9 @@ def templates(lists: pa.ListArray, sizes: list[int], items: bool = False) -> Ite
     ends = lists.offsets.to_numpy().astype(np.int64)
     ends = ends - ends[0]
     coded = lists.flatten().dictionary_encode()
-    kinds, values, closing = zip(*map(features, coded.dictionary.to_pylist()), strict=True) if len(coded.dictionary) else ((), (), ())
     codes = coded.indices.to_numpy()
-    kind = np.array(kinds, np.int8)[codes]
-    value = np.array(values, np.uint64)[codes]
-    stops = np.cumsum(np.concatenate([[0], np.array(closing, bool)[codes]]))
+    kind, value, closing = (x[codes] for x in features(coded.dictionary))
+    stops = np.cumsum(np.concatenate([[0], closing]))
     row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
     at = np.flatnonzero(kind != EMPTY)
     kind, value, row = kind[at], value[at], row[at]
@@ -177,7 +172,7 @@ def windowed(df: DataFrame, key: str, sizes: list[int], allowed=None, items: boo
                         columns = [batch[key].take(at), batch["th"].take(at), pa.array(k), pa.array(start.astype(np.int64)), values.of(start), pa.array(np.full(len(k), exact))]
                         yield pa.RecordBatch.from_arrays(columns, [key, "th", "k", "p", "vals", "exact"])
 
-    return df.mapInArrow(run, f"{key} {kind}, th long, k long, p long, vals array<bigint>, exact boolean")
+    return df.mapInArrow(tidied(run), f"{key} {kind}, th long, k long, p long, vals array<bigint>, exact boolean")
 
 
 def stretch(windows: list[tuple[int, set]]) -> tuple[int, set]:
@@ -289,12 +284,12 @@ def matches(
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "n_windows", "n_slots", "verbatim"])
 
     kinds = [aligned.schema[x].dataType.simpleString() for x in ("doc_id", "item_id")]
-    best = aligned.mapInArrow(judge, f"doc_id {kinds[0]}, item_id {kinds[1]}, n_windows long, n_slots long, verbatim boolean")
+    best = aligned.mapInArrow(tidied(judge), f"doc_id {kinds[0]}, item_id {kinds[1]}, n_windows long, n_slots long, verbatim boolean")
     best = best.select("doc_id", "item_id", F.struct("n_windows", "n_slots", "verbatim").alias("best"))
     return best.groupBy("doc_id", "item_id").agg(F.max("best").alias("best")).select("doc_id", "item_id", "best.*")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose id holds an item; rows without id stay. All columns stay."""
-    held = matches(docs, benchmark, window, id_col, text_col).select(F.col("doc_id").alias("_held")).distinct()
-    return docs.join(held, F.col(id_col) == F.col("_held"), "left_anti")
+    held = matches(docs, benchmark, window, id_col, text_col).select("doc_id").distinct()
+    return docs.alias("docs").join(held.alias("held"), F.expr(f"docs.`{id_col}` = held.doc_id"), "left_anti")

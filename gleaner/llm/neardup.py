@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.llm.components import components
-from gleaner.llm.text import ascii_lower, hashes, ragged, small_batches, spread, windows, words
+from gleaner.llm.text import ascii_lower, hashes, ragged, small_batches, spread, tidied, windows, words
 from gleaner.sources.files import staged
 
 CHUNKS, WIDTH, ERRORS = 10, 5, 1
@@ -95,7 +95,7 @@ def sketched(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFram
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "digest", "signature"])
 
     schema = f"doc_id {kind}, n_shingles long, digest binary, signature binary"
-    return staged(df.mapInArrow(run, schema), "neardup-sketches")
+    return staged(df.mapInArrow(tidied(run), schema), "neardup-sketches")
 
 
 def signature_matrix(column: pa.Array) -> np.ndarray:
@@ -119,7 +119,7 @@ def index_keys(classes: DataFrame) -> DataFrame:
                     key = spread(key * np.uint64(65536) + signed[:, c] + (key >> np.uint64(48)))
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch["rep"]], ["key", "rep"])
 
-    return classes.select("rep", "signature").mapInArrow(run, f"key long, rep {kind}")
+    return classes.select("rep", "signature").mapInArrow(tidied(run), f"key long, rep {kind}")
 
 
 def joined(signed: np.ndarray) -> np.ndarray:
@@ -180,7 +180,7 @@ def candidate_ties(classes: DataFrame) -> DataFrame:
         at = pa.array(np.flatnonzero((first == np.arange(len(first))) & hot))
         yield pa.RecordBatch.from_arrays([reps.take(at), table["root"].combine_chunks().take(at)], ["u", "v"])
 
-    return members.mapInArrow(run, f"u {kind}, v {kind}").filter("u <> v").distinct()
+    return members.mapInArrow(tidied(run), f"u {kind}, v {kind}").filter("u <> v").distinct()
 
 
 def links_between(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int, skip=None):
@@ -235,7 +235,7 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, size: int, percent: in
             yield made.filter(pa.array(same))
 
     schema = f"rep {kind}, cluster {kind}, blocks int, block int, set binary"
-    sets = staged(worded.mapInArrow(rebuild, schema), "neardup-sets")
+    sets = staged(worded.mapInArrow(tidied(rebuild), schema), "neardup-sets")
 
     def answer(reps: pa.Array, found: list[tuple[int, int]]) -> pa.Table:
         at = np.array(found, np.int64).reshape(-1, 2)
@@ -306,5 +306,5 @@ def dedup(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_
 
     Rows are dropped by id, so two rows of one id stay or go together.
     """
-    gone = grouped(docs, size, percent, id_col, text_col).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    gone = grouped(docs, size, percent, id_col, text_col).filter("NOT kept").select("doc_id").distinct()
+    return docs.alias("docs").join(gone.alias("gone"), F.expr(f"docs.`{id_col}` = gone.doc_id"), "left_anti")

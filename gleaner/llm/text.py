@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -121,3 +126,26 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name, "10000")) <= rows:
         spark.conf.set(name, str(rows))
+
+
+def give_back() -> None:
+    """Memory that this process has freed but still holds goes back to the system. Spark reuses its Python
+    workers, and what one stage leaves in them would count against the next."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, giving back its memory when a task's batches are through."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
