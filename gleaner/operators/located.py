@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -200,3 +201,51 @@ def occurring_distances(pairs: DataFrame, places: DataFrame, key: str) -> DataFr
     joined = distinct.join(here, "origin").join(there, "target")
     km = distance_km(*(F.col(c) for c in ("lat1", "lng1", "lat2", "lng2")))
     return joined.select("origin", "target", "n", F.round(km, 4).alias("km"))
+
+
+#: Kilometres of the shortest degree of latitude, and a margin for the ellipsoid against the sphere.
+DEGREE_KM, MARGIN = 110.5, 1.01
+
+
+def within_radius(places: DataFrame, key: str, km: float) -> DataFrame:
+    """(one, other, km) of every two places (key, lat, lng) at most ``km`` apart, one < other.
+
+    The globe is cut into bands of latitude as high as the radius and these into cells at least as wide, fewer
+    towards the poles and a single one round them. A place meets the places of the cells that its circle touches, also
+    across the date line; the distance decides. Places without key or position have no neighbours, places of one
+    key are none to each other.
+    """
+    height = km * MARGIN / DEGREE_KM
+    if not 0 < height < 90:
+        raise ValueError("a radius between nothing and a quarter of a meridian")
+    known = places.select(F.col(key).alias("id"), F.col("lat").cast("double"), F.col("lng").cast("double"))
+    known = known.filter("id IS NOT NULL AND lat BETWEEN -90 AND 90 AND lng IS NOT NULL")
+    known = known.withColumn("east", F.pmod(F.col("lng") + 180.0, F.lit(360.0)))
+    band = F.floor((F.col("lat") + 90.0) / height).cast("int")
+
+    def cells(of: Column) -> Column:
+        """Number of cells of a band, by its edge nearest to a pole."""
+        edge = F.least(F.greatest(F.abs(of * height - 90.0), F.abs((of + 1) * height - 90.0)), F.lit(90.0))
+        return F.greatest(F.floor(F.cos(F.radians(edge)) * 360.0 / height), F.lit(1)).cast("int")
+
+    def cell(east: Column, number: Column) -> Column:
+        return F.pmod(F.floor(east * number / 360.0), number).cast("int")
+
+    home = known.withColumn("band", band).withColumn("cell", cell(F.col("east"), cells(F.col("band"))))
+    # half the width of the circle in degrees of longitude; all round if it holds a pole
+    reach = F.lit(math.sin(math.radians(height))) / F.cos(F.radians("lat"))
+    holds_pole = F.abs("lat") + height >= 90.0
+    half = F.when(holds_pole | (reach >= 1.0), 180.0).otherwise(F.degrees(F.asin(reach)) * MARGIN)
+    near = known.withColumn("half", half).withColumn("band", F.explode(F.array(band - 1, band, band + 1)))
+    number = cells(F.col("band"))
+    first, last = (F.floor((F.col("east") + sign * F.col("half")) * number / 360.0).cast("int") for sign in (-1, 1))
+    touched = F.when(last - first + 1 >= number, F.sequence(F.lit(0), number - 1)).otherwise(
+        F.transform(F.sequence(first, last), lambda c: F.pmod(c, number))
+    )
+    near = near.withColumn("cell", F.explode(F.array_distinct(touched)))
+    one = near.select("band", "cell", F.col("id").alias("one"), F.col("lat").alias("lat1"), F.col("lng").alias("lng1"))
+    other = home.select("band", "cell", F.col("id").alias("other"), F.col("lat").alias("lat2"), F.col("lng").alias("lng2"))
+    met = one.join(other, ["band", "cell"]).filter("one < other")
+    return met.withColumn("km", distance_km(*(F.col(c) for c in ("lat1", "lng1", "lat2", "lng2")))).filter(
+        F.col("km") <= km
+    ).select("one", "other", "km")

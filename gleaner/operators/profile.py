@@ -54,3 +54,37 @@ def preview_long(df: DataFrame, key: str, n: int = 5) -> DataFrame:
 def shape(df: DataFrame) -> DataFrame:
     """Row and column count."""
     return df.agg(F.count("*").alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)))
+
+
+# -- mergeable sketches: stored per part, united later, within a stated error -----------------
+
+#: log2 of the buckets of a distinct count, and the relative error that three deviations stay within.
+HLL_BITS = 14
+HLL_ERROR = 3 * 1.04 / 2 ** (HLL_BITS / 2)
+#: Size of a quantile sketch, and twice the error in rank that it stays within 99 times in a hundred.
+KLL_SIZE = 400
+KLL_ERROR = 0.0133
+
+
+def distinct_sketches(df: DataFrame, column: str, *parts: str) -> DataFrame:
+    """A few kilobytes per part, however many rows it has; nulls are no values."""
+    return df.groupBy(*parts).agg(F.hll_sketch_agg(F.col(column), HLL_BITS).alias("sketch"))
+
+
+def united_distinct(sketches: DataFrame, *keys: str) -> DataFrame:
+    """Distinct values of the parts together: (keys, estimate)."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))
+
+
+def quantile_sketches(df: DataFrame, column: str, *parts: str) -> DataFrame:
+    """The same for the order of a numeric column."""
+    value = F.col(column).cast("double")
+    return df.groupBy(*parts).agg(F.kll_sketch_agg_double(value, KLL_SIZE).alias("sketch"))
+
+
+def united_quantile(sketches: DataFrame, share: float, *keys: str) -> DataFrame:
+    """The value below which ``share`` of the parts' rows lie: (keys, estimate, n)."""
+    united = sketches.groupBy(*keys).agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+    return united.select(
+        *keys, F.kll_sketch_get_quantile_double("sketch", F.lit(share)).alias("estimate"), F.kll_sketch_get_n_double("sketch").alias("n")
+    )

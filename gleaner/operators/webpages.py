@@ -139,3 +139,23 @@ def flattened_payloads(payloads: DataFrame, key: str = "payload_id") -> DataFram
         F.col("r.fields.auteur").alias("auteur"),
         F.col("r.record_timestamp").alias("record_timestamp"),
     )
+
+
+def json_fields(df: DataFrame, name: str, key: str, depth: int = 12) -> DataFrame:
+    """(key, path, kind, value) of every value inside the JSON texts of a column, whatever their layout.
+
+    Paths name fields by ``.name`` and every item of a list by ``[]``; kind is the type, OBJECT and ARRAY for
+    containers, VOID for JSON nulls; value is the variant itself. Texts that are not JSON, and nulls, have no row. Every
+    level of nesting is one step of the plan; texts nested deeper than ``depth`` keep their containers there.
+    """
+    spark = df.sparkSession
+    kind = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
+    level = df.select(key, F.lit("$").alias("path"), F.try_parse_json(name).alias("value")).filter("value IS NOT NULL")
+    found = level = level.withColumn("kind", kind)
+    for _ in range(depth):
+        held = level.filter(F.col("kind").isin("OBJECT", "ARRAY")).select(key, F.col("path").alias("parent"), F.col("value").alias("whole"))
+        inner = held.lateralJoin(spark.tvf.variant_explode(F.col("whole").outer()))
+        step = F.when(F.col("key").isNull(), "[]").otherwise(F.concat(F.lit("."), F.col("key")))
+        level = inner.select(F.col(key), F.concat("parent", step).alias("path"), F.col("value")).withColumn("kind", kind)
+        found = found.unionByName(level)
+    return found.select(key, "path", "kind", "value")

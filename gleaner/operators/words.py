@@ -27,20 +27,14 @@ def count_characters(df: DataFrame, text: str, *keys: str) -> DataFrame:
 
 
 def token_maps(df: DataFrame, key: str, tokens: Column) -> DataFrame:
-    """One map token -> count per row of ``df`` that has tokens; no larger than the row's own text.
+    """One map token -> count per key that has tokens; no larger than the texts of the key.
 
-    A row's tokens are sorted in place, and the distances between the places where they change are
-    the counts: nothing is shuffled.
+    Tokens are counted by (key, token) where the rows are, so what moves is the counts; rows that are
+    already distributed by their key, as :meth:`Tables.spread` leaves them, do not move at all.
     """
-    ordered = df.select(key, F.sort_array(tokens).alias("sorted")).filter(F.size("sorted") > 0)
-    changes = F.filter(
-        F.sequence(F.lit(0), F.size("sorted") - 1),
-        lambda n: (n == 0) | (F.get("sorted", n) != F.get("sorted", n - 1)),
-    )
-    ordered = ordered.select(key, "sorted", F.size("sorted").alias("size"), changes.alias("starts"))
-    lengths = F.transform("starts", lambda at, n: (F.coalesce(F.get("starts", n + 1), F.col("size")) - at).cast("long"))
-    names = F.transform("starts", lambda at: F.get("sorted", at))
-    return ordered.select(key, F.map_from_arrays(names, lengths).alias("counts"))
+    counted = exploded(df, tokens, "token", key).groupBy(key, "token").agg(F.count("*").alias("n"))
+    entries = F.collect_list(F.struct("token", "n"))
+    return counted.groupBy(key).agg(F.map_from_entries(entries).alias("counts"))
 
 
 def blocking_groups(df: DataFrame, key: Column) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import functions as F
 
 from gleaner.operators import learn, prepare
+from gleaner.plans.cleaning import PREPARED
 from gleaner.plans.registry import query
 from gleaner.sources import files
 
@@ -75,6 +77,20 @@ def ml_idf(t):
     return learn.vocabulary(cleaned(t), MIN_DF).select("term", F.round("idf", 9).alias("idf"))
 
 
+@query(
+    VOCABULARY
+    + """, places AS (SELECT term, ln(((SELECT count(*) FROM documents) + 1) / CAST(df + 1 AS DOUBLE)) AS idf,
+                             row_number() OVER (ORDER BY term) - 1 AS slot FROM vocabulary),
+    counts AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest(tokens) AS term FROM clean) GROUP BY ALL)
+    SELECT doc_id, slot, round(n * idf, 9) AS value FROM counts JOIN places USING (term)"""
+)
+def ml_term_cells(t):
+    """Weights of terms in long form: nothing of the vocabulary reaches the driver."""
+    tokens = learn.clean_tokens(documents(t)).select("doc_id", "tokens_clean")
+    cells, _ = learn.term_cells(files.staged(tokens, "tokens"), "doc_id", MIN_DF)
+    return cells.select("doc_id", "slot", F.round("value", 9).alias("value"))
+
+
 INDEXED = """WITH counts AS (SELECT event_type, count(*) AS n FROM events GROUP BY event_type),
     indexed AS (SELECT event_type, n, row_number() OVER (ORDER BY n DESC, event_type) - 1 AS idx,
                        count(*) OVER () AS n_types FROM counts)"""
@@ -177,52 +193,144 @@ def ml_reload_same_predictions(t):
     return both.agg(F.count("*").alias("n"), F.count_if(F.col("first") == F.col("predictions")).alias("n_same"))
 
 
-# -- multi-class models -------------------------------------------------------------------
+@query(
+    """SELECT count(*) AS n, count(*) AS n_same, true AS same_scores, true AS same_estimator FROM labels JOIN documents USING (doc_id)
+       WHERE substr(md5(concat('2810:', doc_id)), 1, 8) >= 'e6666666'"""
+)
+def ml_reload_tuner(t):
+    """Save a tuner, load it and fit it again on the same rows: scores, parameters and predictions must agree."""
+    train, test = prepare.split_rows(labelled_documents(t), "doc_id", 0.9, SEED)
+    tuner = learn.tuned_text_classifier(
+        "quality", ["n_chars"], CATEGORIES, seed=SEED, max_iter=10, min_documents=(MIN_DF, 4 * MIN_DF)
+    )
+    tokens, held = (files.staged(learn.clean_tokens(x).drop("text", "tokens"), "tokens") for x in (train, test))
+    path = files.scratch_dir(t.spark, "tuner")
+    tuner.write().overwrite().save(f"{path}/tuner")
+    first = tuner.fit(tokens)
+    first.write().overwrite().save(f"{path}/tuned")
+    loaded, tuned = TrainValidationSplit.load(f"{path}/tuner"), TrainValidationSplitModel.load(f"{path}/tuned")
+    again = loaded.fit(tokens)
+    scored = held
+    for name, model in (("first", first), ("again", again), ("tuned", tuned)):
+        # one probability vector is enough to tell models apart
+        made = model.transform(scored)
+        more = [c for c in made.columns if c not in scored.columns and c != "predictions"]
+        scored = made.drop(*more).withColumnRenamed("predictions", name)
+    metrics = [first.validationMetrics, again.validationMetrics, tuned.validationMetrics]
+    same = F.lit(all(max(abs(a - b) for a, b in zip(metrics[0], m, strict=True)) < 1e-9 for m in metrics[1:]))
+    kind = F.lit(type(loaded.getEstimator()) is type(tuner.getEstimator()))
+    agree = (F.col("first") == F.col("again")) & (F.col("first") == F.col("tuned"))
+    return scored.agg(
+        F.count("*").alias("n"), F.count_if(agree).alias("n_same"), F.bool_and(same).alias("same_scores"),
+        F.bool_and(kind).alias("same_estimator"),
+    )
+
+
+# -- models of labels that follow a rule, which SQL states ----------------------------------
+
+RULE_WORDS = """SELECT doc_id, CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS label FROM documents"""
+
+
+def ruled_documents(t):
+    rows = documents(t).select("doc_id", "text", "lang", "source", "n_chars")
+    return rows.withColumn("label", (F.col("lang") == "en").cast("int"))
+
+
+@query(
+    f"SELECT doc_id, label, label AS prediction FROM ({RULE_WORDS}) WHERE substr(md5(concat('{SEED}:', doc_id)), 1, 8) >= 'b3333333'"
+)
+def text_rule_model(t):
+    """The text classifier on labels that a category decides, on rows that it was not fitted to."""
+    train, test = prepare.split_rows(ruled_documents(t), "doc_id", 0.7, SEED)
+    classifier, _, _ = learn.text_classifier("label", ["n_chars"], ["lang"], max_iter=50, min_df=MIN_DF)
+    model = learn.fit_on_text(classifier, train)
+    return model.transform(test).select("doc_id", "label", F.col("predictions").cast("int").alias("prediction"))
 
 
-def vectors(t):
-    rows = learn.with_vector(t["embeddings"], "embedding").select("vec_id", "features", F.col("label").cast("double"))
-    return files.staged(rows, "vectors")
+# three classes by two whole-number columns; the third column says nothing
+ITEM_CLASS = """CASE WHEN l_linenumber <= 2 THEN 0 WHEN CAST(round(l_discount * 100) AS INTEGER) < 5 THEN 1 ELSE 2 END"""
+ITEMS = f"""SELECT l_orderkey * 10 + l_linenumber AS item, min({ITEM_CLASS}) AS label FROM lineitem GROUP BY 1"""
 
 
-def fitted_predictions(t, estimator):
-    train, test = prepare.split_rows(vectors(t), "vec_id", 0.7, seed=100)
+def ruled_items(t):
+    rows = t["lineitem"].groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item")).agg(
+        F.min(F.expr(ITEM_CLASS)).cast("double").alias("label"), F.min("l_linenumber").alias("line"),
+        F.min(F.round(F.col("l_discount") * 100)).alias("discount"), F.min(F.col("l_quantity") % 40).alias("noise"),
+    )
+    vectors = VectorAssembler(inputCols=["line", "discount", "noise"], outputCol="features").transform(rows)
+    return files.staged(vectors.select("item", "features", "label"), "items")
+
+
+HELD_ITEMS = f"SELECT item, label, label AS prediction FROM ({ITEMS}) WHERE substr(md5(concat('100:', item)), 1, 8) >= 'b3333333'"
+
+
+def placed_items(t, estimator):
+    train, test = prepare.split_rows(ruled_items(t), "item", 0.7, seed=100)
     scored = estimator.fit(train).transform(test)
-    return scored.select("vec_id", F.col("label").cast("int"), F.col("prediction").cast("int"))
+    return scored.select("item", F.col("label").cast("int"), F.col("prediction").cast("int"))
 
 
-@query()
-def tree_multiclass(t):
-    return fitted_predictions(t, learn.decision_tree("label"))
+@query(HELD_ITEMS)
+def tree_rule_classes(t):
+    return placed_items(t, learn.decision_tree("label"))
 
 
-@query()
-def forest_multiclass(t):
-    return fitted_predictions(t, learn.random_forest("label"))
+@query(HELD_ITEMS)
+def forest_rule_classes(t):
+    return placed_items(t, learn.random_forest("label", numTrees=20, maxDepth=12, featureSubsetStrategy="all"))
 
 
-@query()
-def tree_submission(t):
-    """Score rows that were not trained on and write (id, prediction) as CSV."""
-    path = files.scratch_dir(t.spark, "scored")
-    scored = fitted_predictions(t, learn.decision_tree("label"))
-    files.write_csv(scored.select(F.col("vec_id").alias("id"), "prediction"), path)
-    return files.read_csv(t.spark, path, schema="id long, prediction int")
+@query(f"SELECT round(avg(CASE WHEN label = prediction THEN 1e0 ELSE 0e0 END), 6) AS accuracy, count(*) AS n FROM ({HELD_ITEMS})")
+def tree_rule_accuracy(t):
+    """Share of held-out rows that the tree places right."""
+    scored = placed_items(t, learn.decision_tree("label"))
+    return scored.agg(F.round(F.avg((F.col("label") == F.col("prediction")).cast("double")), 6).alias("accuracy"), F.count("*").alias("n"))
 
 
-@query()
-def pca_project(t):
-    return learn.projected(vectors(t), 3).select(
-        "vec_id", *(F.round(F.col("components")[n], 6).alias(f"pc{n + 1}") for n in range(3))
+@query(f"SELECT search, 10 AS best_depth, 1e0 AS best_score, n FROM (SELECT count(*) AS n FROM ({ITEMS})), (VALUES ('folds'), ('held out')) AS x(search)")
+def tree_grid(t):
+    """A grid over the depth of a tree, once cross-validated and once on one split, both by key. A single question
+    cannot tell three classes apart; of depths that can, the first one wins."""
+    tree, rows = learn.decision_tree("label"), ruled_items(t)
+    grid = ParamGridBuilder().addGrid(tree.maxDepth, [1, 10, 20]).build()
+    evaluator = learn.f1_evaluator("label", "prediction", "accuracy")
+    folded = learn.with_folds(rows, "item", 3, seed=100)
+    crossed = learn.cross_validated(tree, grid, evaluator, folds=3, seed=100, fold_col="fold").fit(folded)
+    held = learn.tuned_on_held_out(tree, grid, evaluator, rows, "item", 0.7, seed=100)
+    n = rows.count()
+    found = [
+        (name, int(model.bestModel.getMaxDepth()), float(max(scores)), n)
+        for name, model, scores in (("folds", crossed, crossed.avgMetrics), ("held out", held, held.scores))
+    ]
+    return t.spark.createDataFrame(found, "search string, best_depth int, best_score double, n long")
+
+
+@query(
+    """WITH rows AS (SELECT l_orderkey * 10 + l_linenumber AS item, min(l_quantity) AS x, min(l_extendedprice) / 1e3 AS y FROM lineitem GROUP BY 1),
+    turn AS (SELECT atan2(2 * covar_samp(x, y), var_samp(x) - var_samp(y)) / 2 AS a FROM rows)
+    SELECT item, round(abs(x * cos(a) + y * sin(a)), 6) AS pc1, round(abs(y * cos(a) - x * sin(a)), 6) AS pc2 FROM rows, turn"""
+)
+def pca_two_columns(t):
+    """Principal components of two columns, for which a rotation is the closed form; their signs are arbitrary."""
+    rows = t["lineitem"].groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item")).agg(
+        F.min("l_quantity").alias("x"), (F.min("l_extendedprice") / 1e3).alias("y")
     )
+    made = learn.projected(VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(files.staged(rows, "columns")), 2)
+    return made.select("item", *(F.round(F.abs(F.col("components")[n]), 6).alias(f"pc{n + 1}") for n in range(2)))
 
 
-@query()
-def cv_best_params(t):
-    """How many principal components serve a tree best, by three-fold cross-validation."""
-    estimator, components = learn.component_tree("label")
-    grid = ParamGridBuilder().addGrid(components.k, list(learn.COMPONENTS)).build()
-    evaluator = learn.f1_evaluator("label", "prediction", "accuracy")
-    train, _ = prepare.split_rows(vectors(t), "vec_id", 0.7, seed=100)
-    model = learn.cross_validated(estimator, grid, evaluator, folds=3, seed=100).fit(train)
-    return learn.chosen_params(t.spark, model, model.avgMetrics)
+@query(
+    f"""SELECT project_id, CASE WHEN country2 = 'US' THEN 1 ELSE 0 END AS label, CASE WHEN country2 = 'US' THEN 1 ELSE 0 END AS prediction
+        FROM ({PREPARED}) WHERE substr(md5(concat('{SEED}:', project_id)), 1, 8) >= 'b3333333'""",
+    views=("campaigns",),
+)
+def campaign_model(t):
+    """The classifier on the prepared campaigns: their text, amounts, times and categories; the label follows one of them."""
+    rows = files.staged(prepare.prepare_campaigns(t["campaigns"]), "prepared")
+    rows = rows.select("project_id", "text", "days_campaign", "hours_prepa", "goal", "country2", "currency2")
+    rows = rows.withColumn("label", (F.col("country2") == "US").cast("int"))
+    train, test = prepare.split_rows(rows, "project_id", 0.7, SEED)
+    numeric, categories = ["days_campaign", "hours_prepa", "goal"], ["country2", "currency2"]
+    classifier, _, _ = learn.text_classifier("label", numeric, categories, max_iter=50, min_df=MIN_DF)
+    scored = learn.fit_on_text(classifier, train).transform(test)
+    return scored.select("project_id", "label", F.col("predictions").cast("int").alias("prediction"))

@@ -120,6 +120,24 @@ def pairwise_distance(t):
     return located.occurring_distances(pairs, t["geo_nations"], "n_nationkey")
 
 
+NEAR_KM = 300
+
+
+@query(
+    vincenty_sql(
+        "SELECT concat(a.shop, ':', b.shop) AS id, a.lat AS la1, a.lng AS lo1, b.lat AS la2, b.lng AS lo2 "
+        f"FROM shops a JOIN shops b ON a.shop < b.shop AND abs(a.lat - b.lat) < {NEAR_KM} / 11e1"
+    )
+    + f""" SELECT CAST(split_part(id, ':', 1) AS BIGINT) AS one, CAST(split_part(id, ':', 2) AS BIGINT) AS other, round(km, 4) AS km
+           FROM km WHERE km <= {NEAR_KM}""",
+    views=("shops",),
+)
+def places_within_radius(t):
+    """All pairs of shops at most 300 km apart, over the poles and the date line too."""
+    near = located.within_radius(t["shops"], "shop", NEAR_KM)
+    return near.select("one", "other", F.round("km", 4).alias("km"))
+
+
 # -- errors of a plain estimate: the mean position of the stations that heard the message --
 
 CENTROIDS = f"""SELECT messid, avg(lat) AS lat, avg(lng) AS lng, avg(bs_lat) AS pred_lat, avg(bs_lng) AS pred_lng

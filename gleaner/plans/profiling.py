@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gleaner.operators import prepare, profile, ranks, words
 from gleaner.plans.cleaning import FEES, typed_fees
 from gleaner.plans.registry import query
+from gleaner.sources import files
 
 STATISTICS = ("n", "mean", "stddev", "min", "max")
 
@@ -128,3 +129,32 @@ def sort_by_last_element(t):
 )
 def priority_sort_topk(t):
     return words.priority_sorted(t["part"].select("p_name", "p_partkey"), "p_name", "small", "p_partkey").limit(100)
+
+
+# -- sketches per day, stored and united: the error is checked against the exact answer --------
+
+
+@query("SELECT event_type, count(DISTINCT user_id) AS n_users, true AS within FROM events GROUP BY event_type")
+def distinct_by_sketch(t):
+    """Distinct users from daily sketches, next to the exact number and whether the estimate keeps its bound."""
+    events = t["events"].withColumn("day", F.to_date("ts"))
+    daily = files.staged(profile.distinct_sketches(events, "user_id", "event_type", "day"), "sketches")
+    exact = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("n_users"))
+    both = profile.united_distinct(daily, "event_type").join(exact, "event_type")
+    # the bound of small counts is one value
+    off = F.abs(F.col("estimate") - F.col("n_users"))
+    return both.select("event_type", "n_users", (off <= F.greatest(F.lit(1.0), F.col("n_users") * profile.HLL_ERROR)).alias("within"))
+
+
+@query("SELECT event_type, count(value) AS n, true AS within FROM events GROUP BY event_type")
+def percentile_by_sketch(t):
+    """The 80th percentile from daily sketches, and whether its true rank keeps the bound."""
+    events = t["events"].select("event_type", "value", F.to_date("ts").alias("day"))
+    daily = files.staged(profile.quantile_sketches(events, "value", "event_type", "day"), "sketches")
+    found = profile.united_quantile(daily, 0.8, "event_type")
+    ranked = events.filter("value IS NOT NULL").join(found, "event_type").groupBy("event_type").agg(
+        F.max("n").alias("n"), F.avg((F.col("value") < F.col("estimate")).cast("double")).alias("below"),
+        F.avg((F.col("value") <= F.col("estimate")).cast("double")).alias("upto"),
+    )
+    low, high = 0.8 - profile.KLL_ERROR, 0.8 + profile.KLL_ERROR
+    return ranked.select("event_type", "n", ((F.col("below") <= high) & (F.col("upto") >= low)).alias("within"))

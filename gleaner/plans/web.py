@@ -133,3 +133,36 @@ def json_parse(t):
 )
 def json_flatten(t):
     return webpages.flattened_payloads(t.spread("payloads", "payload_id"))
+
+
+@query(
+    """WITH items AS (SELECT p_partkey AS id, p_partkey % 19 <> 0 AS filled FROM part WHERE p_partkey % 23 <> 0),
+    paths AS (SELECT * FROM (VALUES ('$', 'OBJECT', 1, 0), ('$.nhits', 'BIGINT', 1, 0), ('$.parameters', 'OBJECT', 1, 0),
+        ('$.records', 'ARRAY', 1, 0), ('$.records[]', 'OBJECT', 0, 2), ('$.records[].datasetid', 'STRING', 0, 2),
+        ('$.records[].recordid', 'STRING', 0, 2), ('$.records[].fields', 'OBJECT', 0, 2),
+        ('$.records[].fields.nombre_de_reservations', 'BIGINT', 0, 2), ('$.records[].fields.auteur', 'STRING', 0, 1),
+        ('$.records[].fields.titre', 'STRING', 0, 2), ('$.records[].record_timestamp', 'STRING', 0, 2)) AS x(path, kind, page, record))
+    SELECT path, kind, CAST(sum(page + CASE WHEN filled THEN record ELSE 0 END) AS BIGINT) AS n FROM items, paths GROUP BY path, kind
+    HAVING sum(page + CASE WHEN filled THEN record ELSE 0 END) > 0"""
+)
+def json_paths(t):
+    """Which fields answers of unknown layout have, of which type and how often."""
+    fields = webpages.json_fields(t.spread("payloads", "payload_id"), "payload", "payload_id", depth=5)
+    return fields.groupBy("path", "kind").agg(F.count("*").alias("n"))
+
+
+@query(
+    """WITH kept AS (SELECT p_partkey AS payload_id, p_size, p_brand, p_name, p_type FROM part WHERE p_partkey % 23 <> 0 AND p_partkey % 19 <> 0)
+       SELECT payload_id, concat('a', payload_id) AS recordid, p_brand AS auteur, p_name AS titre, CAST(p_size * 10 AS BIGINT) AS places FROM kept
+       UNION ALL SELECT payload_id, concat('b', payload_id), NULL, p_type, p_size FROM kept"""
+)
+def json_varied_records(t):
+    """Records whose fields vary, by paths into the variant; what a record lacks is NULL."""
+    answers = t.spread("payloads", "payload_id").select("payload_id", F.try_parse_json("payload").alias("answer"))
+    listed = F.try_variant_get("answer", "$.records", "array<variant>")
+    records = answers.select("payload_id", F.explode(listed).alias("r"))
+    take = lambda path, kind: F.try_variant_get("r", path, kind)
+    return records.select(
+        "payload_id", take("$.recordid", "string").alias("recordid"), take("$.fields.auteur", "string").alias("auteur"),
+        take("$.fields.titre", "string").alias("titre"), take("$.fields.nombre_de_reservations", "bigint").alias("places"),
+    )

@@ -83,6 +83,11 @@ VIEWS = {
     "geo_nations": """
         SELECT n_nationkey, n_name, -60e0 + n_nationkey * 5e0 AS lat, -170e0 + n_nationkey * 13e0 AS lng
         FROM $nation""",
+    # shops all over the globe, some near the poles and on either side of the date line
+    "shops": """
+        SELECT c_custkey AS shop, CAST((c_custkey * 37) % 1799 AS DOUBLE) / 10 - 89e0 - 9e-1 AS lat,
+               CAST((c_custkey * 911) % 3600 AS DOUBLE) / 10 - 180e0 AS lng
+        FROM $customer""",
     # practitioners per zone; a zone is a region or "NN - department"
     "doctors": """
         SELECT CASE WHEN c_custkey % 9 = 0 THEN concat('Region ', n_name)

@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.tuning import TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import functions as F
 
 from gleaner.operators import learn
@@ -119,3 +121,74 @@ def test_vocabulary_has_no_cap(spark):
     found = learn.vocabulary(rows.union(rows), 2.0)
     assert found.count() == 300_001 and found.filter("term = 'both'").first()["df"] == 600_000
     assert learn.vocabulary(rows.union(rows), 0.5).count() == 1
+
+
+def test_a_loaded_tuner_fits_as_the_saved_one(spark, tmp_path):
+    df = reviews(spark)
+    tokens = learn.clean_tokens(df).drop("text", "tokens")
+    tuner = learn.tuned_text_classifier("label", ["size"], ["lang"], 1, max_iter=3, min_documents=(2.0, 40.0))
+    tuner.write().save(str(tmp_path / "tuner"))
+    loaded = TrainValidationSplit.load(str(tmp_path / "tuner"))
+    assert type(loaded.getEstimator()) is learn.StagedPipeline and loaded.getTrainRatio() == tuner.getTrainRatio()
+    first, again = tuner.fit(tokens), loaded.fit(tokens)
+    first.write().save(str(tmp_path / "tuned"))
+    tuned = TrainValidationSplitModel.load(str(tmp_path / "tuned"))
+    assert first.validationMetrics == pytest.approx(again.validationMetrics)
+    assert first.validationMetrics == pytest.approx(tuned.validationMetrics)
+    scores = [[r["predictions"] for r in m.transform(tokens).orderBy("id").collect()] for m in (first, again, tuned)]
+    assert scores[0] == scores[1] == scores[2]
+
+
+def test_a_staged_pipeline_is_saved_under_its_own_name(spark, tmp_path):
+    pipeline, counts, _ = learn.text_classifier("label", ["size"], ["lang"], max_iter=3, min_df=2.0)
+    pipeline.write().save(str(tmp_path / "pipeline"))
+    loaded = learn.StagedPipeline.load(str(tmp_path / "pipeline"))
+    assert loaded.uid == pipeline.uid and [s.uid for s in loaded.getStages()] == [s.uid for s in pipeline.getStages()]
+    assert loaded.getStages()[0].getMinDF() == counts.getMinDF()
+
+
+def test_folds_and_splits_follow_the_key(spark):
+    df = spark.range(900).selectExpr("id", "id % 3 AS label")
+    one, other = (learn.with_folds(df.repartition(n), "id", 5, 7) for n in (1, 13))
+    assert sorted(one.collect()) == sorted(other.collect())
+    sizes = [r["count"] for r in one.groupBy("fold").count().collect()]
+    assert len(sizes) == 5 and min(sizes) > 130
+    assert learn.with_folds(df.selectExpr("CAST(null AS INT) AS id"), "id", 5, 7).select("fold").distinct().count() == 1
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    df = blobs(spark).withColumn("label", F.when(F.col("id") % 7 == 0, 1.0).otherwise(F.col("label")))
+    tree = learn.decision_tree("label", maxDepth=4)
+    grid = learn.ParamGridBuilder().addGrid(tree.maxDepth, [1, 4]).build()
+    evaluator = learn.f1_evaluator("label", "prediction", "accuracy")
+    scores = []
+    for parts in (1, 7):
+        rows = learn.with_folds(df.repartition(parts), "id", 3, 1)
+        crossed = learn.cross_validated(tree, grid, evaluator, 3, 1, "fold").fit(rows)
+        held = learn.tuned_on_held_out(tree, grid, evaluator, df.repartition(parts), "id", 0.7, 1)
+        scores.append([*crossed.avgMetrics, *held.scores])
+        assert held.bestModel.getMaxDepth() == 4
+    assert scores[0] == pytest.approx(scores[1])
+
+
+def test_a_classifier_on_three_hundred_thousand_terms(spark):
+    n = 300_000
+    rows = spark.range(3000).selectExpr("id AS key", "id % 2 AS label")
+    tokens = rows.selectExpr(
+        "key", "concat(transform(sequence(0, 99), k -> concat('t', key * 100 + k)), array(if(label = 1, 'yes', 'no'))) AS tokens_clean"
+    )
+    cells, terms = learn.term_cells(tokens, "key", 1.0)
+    assert terms.count() == n + 2 and terms.agg(F.max("slot")).first()[0] == n + 1
+    table = learn.sparse_rows(cells, rows, "key", "label", n + 2)
+    assert table.first()["features"].size == n + 3
+    model = LogisticRegression(maxIter=5, regParam=0.01).fit(table)
+    keyed = learn.sparse_rows(cells, rows, "key", "key", n + 2)
+    scored = model.transform(keyed).select(F.col("label").cast("long").alias("key"), "prediction").join(rows, "key")
+    assert scored.filter("prediction = label").count() == 3000
+
+
+def test_sparse_rows_without_cells(spark):
+    rows = spark.createDataFrame([(1, 1.0), (2, 0.0)], "key long, label double")
+    cells = spark.createDataFrame([(1, 0, 2.5), (1, 7, 1.0)], "key long, slot long, value double")
+    got = {r["label"]: r["features"] for r in learn.sparse_rows(cells, rows, "key", "label", 8).collect()}
+    assert list(got[1.0].toArray()) == [2.5, 0, 0, 0, 0, 0, 0, 1.0, 0] and not got[0.0].toArray().any()

@@ -140,3 +140,26 @@ def test_five_thousand_stations_are_numbered_in_ranges(spark):
     text = numbered._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in text
     assert located.incidence_cells(heard, numbered).count() == 20000
+
+
+def test_places_within_a_radius_against_the_full_square(spark):
+    rng = np.random.default_rng(6)
+    rows = [(n, float(a), float(b)) for n, (a, b) in enumerate(zip(rng.uniform(-90, 90, 150), rng.uniform(-180, 180, 150)))]
+    rows += [(200 + n, a, b) for n, (a, b) in enumerate([
+        (90.0, 0.0), (89.5, 10.0), (89.5, -170.0), (-90.0, 5.0), (-89.0, 100.0), (0.0, 180.0), (0.1, -180.0), (0.2, -179.9),
+        (0.0, 179.95), (60.0, 179.9), (60.0, -179.9), (45.0, 360.0), (45.0, 0.1), (10.0, 10.0), (10.0, 10.0),
+    ])]
+    rows += [(300, None, 1.0), (301, 1.0, None), (None, 0.0, 180.0)]
+    places = spark.createDataFrame(rows, "id int, lat double, lng double")
+    one = places.toDF("one", "lat1", "lng1").filter("one IS NOT NULL AND lat1 IS NOT NULL AND lng1 IS NOT NULL")
+    other = places.toDF("other", "lat2", "lng2").filter("other IS NOT NULL AND lat2 IS NOT NULL AND lng2 IS NOT NULL")
+    square = one.join(other, F.col("one") < F.col("other"))
+    km = located.distance_km(*(F.col(c) for c in ("lat1", "lng1", "lat2", "lng2")))
+    square = {(r["one"], r["other"]): r["km"] for r in square.withColumn("km", km).collect()}
+    for radius in (15.0, 120.0, 900.0, 4000.0):
+        near = located.within_radius(places, "id", radius)
+        got = {(r["one"], r["other"]): r["km"] for r in near.collect()}
+        assert got == pytest.approx({pair: d for pair, d in square.items() if d is not None and d <= radius})
+        assert "NestedLoop" not in near._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        located.within_radius(places, "id", 0.0)

@@ -143,3 +143,27 @@ def test_pages_fixture(spark):
     )
     rows = webpages.table_rows(webpages.page_sources(pages), "id").select("id", "pos", webpages.cell_text(F.col("row"), 0))
     assert [tuple(r) for r in rows.orderBy("id", "pos").collect()] == [(1, 0, "login (user name)"), (1, 1, "bc")]
+
+
+def test_fields_of_unknown_json(spark):
+    from gleaner.operators import webpages
+
+    given = [(1, '{"a": [1, {"b": "x"}], "c": null, "d": {"b": 1.5}}'), (2, "[]"), (3, "{"), (4, None), (5, "7"), (6, '[[true]]')]
+    df = spark.createDataFrame(given, "id int, body string")
+    got = sorted((r["id"], r["path"], r["kind"]) for r in webpages.json_fields(df, "body", "id").select("id", "path", "kind").collect())
+    assert got == [
+        (1, "$", "OBJECT"), (1, "$.a", "ARRAY"), (1, "$.a[]", "BIGINT"), (1, "$.a[]", "OBJECT"), (1, "$.a[].b", "STRING"),
+        (1, "$.c", "VOID"), (1, "$.d", "OBJECT"), (1, "$.d.b", "DECIMAL"), (2, "$", "ARRAY"), (5, "$", "BIGINT"),
+        (6, "$", "ARRAY"), (6, "$[]", "ARRAY"), (6, "$[][]", "BOOLEAN"),
+    ]
+
+
+def test_sketches_of_parts_are_united(spark):
+    from gleaner.operators import profile
+
+    df = spark.range(60000).selectExpr("id % 7 AS part", "id % 20011 AS x", "cast(id AS double) AS v")
+    parts = profile.distinct_sketches(df, "x", "part")
+    estimate = profile.united_distinct(parts).first()["estimate"]
+    assert parts.count() == 7 and abs(estimate - 20011) <= 20011 * profile.HLL_ERROR
+    found = profile.united_quantile(profile.quantile_sketches(df, "v", "part"), 0.25).first()
+    assert found["n"] == 60000 and abs(found["estimate"] / 60000 - 0.25) <= profile.KLL_ERROR

@@ -68,9 +68,14 @@ def test_blocking_groups(spark):
     assert [tuple(r) for r in words.blocking_groups(df, strings.ends_key(F.col("w"))).collect()] == [("spng", 2)]
 
 
-def test_token_maps_move_nothing(spark):
+def test_token_maps_move_counts_only(spark):
     maps = words.token_maps(frame(spark), "id", strings.word_tokens(F.col("line")))
-    assert "Exchange" not in maps._jdf.queryExecution().executedPlan().toString()
+    plan = maps._jdf.queryExecution().executedPlan().toString()
+    # tokens are counted on both sides of the first exchange; no text and no array of tokens is sorted
+    assert plan.count("Exchange") <= 2 and "partial_count" in plan and "sort_array" not in plan
+    spread = frame(spark).repartition(3, "id")
+    plan = words.token_maps(spread, "id", strings.word_tokens(F.col("line")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1  # the one by which the rows were spread
     assert {r["id"]: r["counts"] for r in maps.collect()} == {
         0: {"a": 1, "b": 1}, 3: {"a": 1, "b": 1}, 4: {"tab": 1, "here": 1}, 5: {"b": 2},
     }
