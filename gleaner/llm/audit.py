@@ -194,7 +194,9 @@ def divergence(p: Column, q: Column) -> Column:
 
 
 def compared(group: pa.Table) -> pa.Table:
-    """The sums over a block of terms, for each two sources of two tiles: lang, source, item, value."""
+    """The sums over a block of terms, for each two sources of two tiles: lang, source, item, value, and rest, the
+    value of all kept terms of the language if neither source had any; ``value`` is the surplus over the block's part
+    of it, so that terms of other tiles alone need no column here."""
     sources = group["source"].combine_chunks().dictionary_encode()
     own = sources.indices.to_numpy()
     tile = group["tile"].to_numpy()
@@ -209,18 +211,20 @@ def compared(group: pa.Table) -> pa.Table:
     p[own[real], terms[real].astype(np.int64)] = group["p"].to_numpy()[real]
     low, high = group["low"][0].as_py(), group["high"][0].as_py()
     rows, columns = np.flatnonzero(side == low), np.flatnonzero(side == high)
-    a, b, value = [], [], []
+    a, b, value, rest, kept = [], [], [], [], group["terms"][0].as_py()
     for x in rows:
         others = columns[columns > x] if low == high else columns
         away = p[x] - p[others]
-        sums = (away * away // (p[x] + p[others])).sum(axis=1)
+        neither = (z[x] - z[others]) ** 2 // (z[x] + z[others])
+        sums = (away * away // (p[x] + p[others])).sum(axis=1) - n_terms * neither
         a += [np.full(len(others), x), others]
         b += [others, np.full(len(others), x)]
         value += [sums, sums]
+        rest += [kept * neither] * 2
     name = lambda parts: sources.dictionary.take(pa.array(np.concatenate([np.zeros(0, np.int64), *parts])))
-    found = np.concatenate([np.zeros(0, np.int64), *value])
-    lang = pa.array([group["lang"][0].as_py()] * len(found), pa.string())
-    return pa.table([lang, name(a), name(b), pa.array(found)], ["lang", "source", "item", "value"])
+    value, rest = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (value, rest))
+    lang = pa.array([group["lang"][0].as_py()] * len(value), pa.string())
+    return pa.table([lang, name(a), name(b), pa.array(value), pa.array(rest)], ["lang", "source", "item", "value", "rest"])
 
 
 def audited(
@@ -255,17 +259,19 @@ def audited(
     used = kept.join(stats, ["lang", "source"]).withColumn("p", share(F.col("n"), F.col("total"), F.col("terms")))
 
     # every block holds each source once without a term, so that sources without its terms are compared too
-    rows = ["lang", "source", "tile", "tiles", "term", "p", "z", "block"]
+    rows = ["lang", "source", "tile", "tiles", "term", "p", "z", "block", "terms"]
     cell = used.withColumn("block", F.pmod(F.xxhash64("term"), "blocks").cast("int")).select(rows)
     bare = stats.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     bare = bare.select(*rows[:4], F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("p"), *rows[6:])
     cell = cell.unionByName(bare).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     cell = cell.select(
-        "lang", "block", "source", "tile", "term", "p", "z",
+        "lang", "block", "source", "tile", "term", "p", "z", "terms",
         F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"),
     )
-    pairs = cell.groupBy("lang", "block", "low", "high").applyInArrow(compared, "lang string, source string, item string, value long")
-    pairs = pairs.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+    pairs = cell.groupBy("lang", "block", "low", "high").applyInArrow(
+        compared, "lang string, source string, item string, value long, rest long"
+    )
+    pairs = pairs.groupBy("lang", "source", "item").agg((F.sum("value") + F.max("rest")).alias("value"))
 
     used = used.withColumn("q", share(F.col("lang_n"), F.col("lang_total"), F.col("terms"))).filter("p > q")
     terms = used.select("lang", "source", F.col("term").alias("item"), divergence(F.col("p"), F.col("q")).alias("value"))

@@ -2,8 +2,8 @@
 
 Numbers, units and names become typed placeholders, so that a question whose parameters were
 changed keeps its windows. Windows of canonical words are joined by hash; per alignment of an item
-with a document the parameters must map one to one, or the likeness is a coincidence. Where they
-do not, a long enough stretch of the alignment that holds no conflict still counts.
+with a document each parameter of the item must stand for one of the document, or the likeness is a
+coincidence; two parameters may have become equal. Where one stands for several, a long enough stretch of the alignment that holds no conflict still counts.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from gleaner.llm.text import ragged, small_batches, spread, tidied, windows, wor
 
 #: Canonical words in a window; an item with fewer is one window, below SHORTEST one of verbatim words.
 WINDOW, SHORTEST = 10, 5
+#: An item of so few words is a sentence of its own, or the whole text, where a document holds it.
+LONE = 2
 #: Words beyond a window that a stretch needs to stand by itself where other windows of its alignment
 #: conflict: word for word, and with mapped parameters (for windows of 10: 13 and 20 words).
 COPIED, MAPPED = 3, 10
@@ -112,6 +114,9 @@ def templates(lists: pa.ListArray, sizes: list[int], items: bool = False) -> Ite
         exact = whole & ((size < SHORTEST) | (2 * n_firm > size) | (kind[begin] == UNIT))
         if items:
             exact &= n_words[row[begin]].clip(max=max(sizes)) == size
+        if size <= LONE:
+            last = begin + size == len(at)
+            exact &= starts[begin] & (last | starts[np.where(last, 0, begin + size)])
         exact = begin[exact]
         if len(exact):
             # hashed word by word: few windows are of this kind
@@ -176,31 +181,29 @@ def windowed(df: DataFrame, key: str, sizes: list[int], allowed=None, items: boo
 
 
 def stretch(windows: list[tuple[int, set]]) -> tuple[int, set]:
-    """Of windows (start, pairs) in order of start, the longest run of neighbours whose pairs map one
-    to one: its number of windows, and its pairs."""
+    """Of windows (start, pairs) in order of start, the longest run of neighbours whose pairs give each
+    parameter of the item one of the document: its number of windows, and its pairs."""
     best, best_pairs, low = 0, set(), 0
-    pairs, item, doc = Counter(), Counter(), Counter()
+    pairs, item = Counter(), Counter()
 
     def drop(pair):
         pairs[pair] -= 1
         if not pairs[pair]:
             del pairs[pair]
-            for side, x in ((item, pair[0]), (doc, pair[1])):
-                side[x] -= 1
-                if not side[x]:
-                    del side[x]
+            item[pair[0]] -= 1
+            if not item[pair[0]]:
+                del item[pair[0]]
 
     for high, (start, new) in enumerate(windows):
         if high and start != windows[high - 1][0] + 1:
             low = high
-            for side in (pairs, item, doc):
-                side.clear()
+            pairs.clear()
+            item.clear()
         for pair in new:
             if pair not in pairs:
                 item[pair[0]] += 1
-                doc[pair[1]] += 1
             pairs[pair] += 1
-        while not len(pairs) == len(item) == len(doc):
+        while len(pairs) != len(item):
             for pair in windows[low][1]:
                 drop(pair)
             low += 1
@@ -214,7 +217,7 @@ def judged(windows: list[tuple[int, set]], size: int, window: int) -> tuple[int,
     None if it is a coincidence."""
     same = lambda pairs: all(a == b for a, b in pairs)
     pooled = set().union(*(pairs for _, pairs in windows))
-    if len({a for a, _ in pooled}) == len({b for _, b in pooled}) == len(pooled):
+    if len({a for a, _ in pooled}) == len(pooled):
         return len(windows), len(pooled), same(pooled)
     good = []
     for chosen, more in (([w for w in windows if same(w[1])], COPIED), (windows, MAPPED)):
@@ -231,13 +234,13 @@ def matches(
     """doc_id, item_id, n_windows, n_slots, verbatim for each document that holds an item.
 
     A document holds an item if one of its windows has the template of one of the item's, and all
-    windows of that alignment agree on which parameter of the item stands for which of the document,
-    one to one. Where they disagree, neighbouring windows that agree among themselves are enough if
+    windows of that alignment agree on which parameter of the document each one of the item stands for. Where they disagree, neighbouring windows that agree among themselves are enough if
     they cover ``MAPPED`` words more than a window, or word for word ``COPIED`` more. n_windows and
     n_slots (distinct parameters) are those of the best alignment or stretch; verbatim: its
     parameters are the item's. Null texts hold nothing and are held by nothing; rows
     of one id and one text count once. Items under ``SHORTEST`` words, and windows that are mostly
-    parameters, are found word for word only; an item without letter or digit is never found.
+    parameters, are found word for word only, those of up to ``LONE`` words as a sentence of their own; an
+    item without letter or digit is never found.
     """
     spark = docs.sparkSession
     small_batches(spark)

@@ -87,9 +87,13 @@ def lines_sql() -> str:
         SELECT doc_id, s, p AS a, lead(p, {t - 1}) OVER d AS b, count(*) OVER (d ROWS BETWEEN CURRENT ROW AND {t - 1} FOLLOWING) AS n,
                string_agg(line, chr(10)) OVER (d ROWS BETWEEN CURRENT ROW AND {t - 1} FOLLOWING) AS run
         FROM ordered WINDOW d AS (PARTITION BY doc_id ORDER BY s)),
+    long_lines AS (
+        SELECT doc_id, p, row_number() OVER (PARTITION BY line ORDER BY doc_id, s) AS k FROM ordered
+        WHERE len(regexp_extract_all(line, '{WORD}')) > {lines.LONG_WORDS}),
     later AS (
         SELECT doc_id, a, b FROM (
-            SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, s) AS k FROM runs WHERE n = {t}) WHERE k > 1),
+            SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, s) AS k FROM runs WHERE n = {t}) WHERE k > 1
+        UNION ALL SELECT doc_id, p, p FROM long_lines WHERE k > 1),
     gone AS (SELECT DISTINCT doc_id, unnest(range(a, b + 1)) AS p FROM later),
     flagged AS (
         SELECT n.doc_id, n.p, n.line, w.p IS NOT NULL AS has_word, g.p IS NOT NULL AS out
@@ -102,7 +106,7 @@ def lines_sql() -> str:
 
 @query(lines_sql())
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = lines.marked(table(spark, sf_dir, "documents")).select("doc_id", "line_dedup.*")
+    df = lines.marked(table(spark, sf_dir, "documents"), long_words=lines.LONG_WORDS).select("doc_id", "line_dedup.*")
     kept = F.sha2(F.coalesce("kept", F.lit("")), 256)
     return df.select("doc_id", "n_lines", "n_removed", kept.alias("kept_sha256"))
 

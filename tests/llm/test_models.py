@@ -1,4 +1,7 @@
+import random
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import katz
 
@@ -46,6 +49,7 @@ def test_label_model_finds_accuracies():
     hit = [0.9, 0.8, 0.95, 0.7]
     votes = np.stack([np.where(rng.random(len(good)) < h, np.where(good, 2, 0), np.where(good, 1, 1)) for h in hit], 1)
     votes[rng.random(votes.shape) < 0.02] = 0
+    votes[rng.random(votes.shape) < 0.05] = classifier.ABSENT
     patterns, which, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
     fitted = classifier.estimate(patterns, counts.astype(float))
     assert abs(fitted.prior[1] - good.mean()) < 0.02
@@ -63,6 +67,37 @@ def test_classifier_on_held_out_labels(spark):
     assert judged.count() == docs.count()
 
 
+def test_texts_that_only_the_labellers_find(spark):
+    """Bad by stop words, word length or repeated lines, though their words look like those of good texts."""
+    draw = random.Random(1)
+    word = lambda n, letters="abcdefghijklmnopqrstuvwxyz": "".join(draw.choices(letters, k=n))
+    texts = [
+        " ".join(draw.choices("cheap tickets hotel booking flights deals online".split(), k=200)),
+        " ".join(word(28) for _ in range(150)),
+        "\n".join(["Welcome to the best page of the whole town."] * 60),
+        " ".join(word(draw.randrange(3, 8), "bcdfghjklmnpqrstvwxz") for _ in range(200)),
+        "The man went to the river and looked at the boats that were on the water, and then he walked home to his house in the town. "
+        "It was late, and the lamps of the street were lit when his wife saw him from the window and called the children.",
+    ]
+    model = classifier.fit(spark.read.parquet(f"{SF}/documents.parquet"))
+    got = {r.doc_id: r for r in model.judge(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()}
+    assert [got[i].kept for i in range(5)] == [False, False, False, False, True]
+    assert all(got[i].score < classifier.SURE for i in range(4))
+
+
+def test_measures_by_hand():
+    text = "The the cat | sat.\n\nAB #1 word\nAB #1 word"
+    m = classifier.Measured(pa.array([text, "", "x"], pa.string()))
+    values = {k: v[0] for k, v in m.values.items()}
+    assert m.n_words.tolist() == [11, 0, 1] and np.isnan([v[1] for v in m.values.values()]).all()
+    assert values == pytest.approx({
+        "symbols": 3 / 11, "upper": 5 / 30, "stops": 2 / 11, "word_length": 30 / 11, "again": 0, "variety": 8 / 11**0.5, "piped": 1 / 3,
+        "distinct_lines": 2 / 3, "closed": 1 / 3,
+    })
+    row, place, value = classifier.features(m)
+    assert (np.diff(row * classifier.FEATURES + place) > 0).all() and (value > 0).all() and 1 not in row
+
+
 def test_classifier_on_odd_tables(spark):
     df = spark.createDataFrame([(1, None, "s"), (2, "", "s"), (None, "a b c", "s"), (3, "word " * 20000, "s"), (3, "x y", "s")], "doc_id long, text string, score string")
     got = classifier.fit(df).judge(df).collect()

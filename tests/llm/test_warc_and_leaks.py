@@ -1,4 +1,5 @@
 import os
+import random
 
 import pytest
 
@@ -59,7 +60,7 @@ DOCS = [
     (2, "If Anna buys 9 apples for 11 euros and Bob buys 12 pears, how many does Bob have?", False),
     (3, None, False), (4, "", False),
     (5, "if tom buys 3 apples for 5 dollars and mary buys 7 pears , how many does tom have", True),
-    (6, "If Tom buys 9 apples for 9 dollars and Mary buys 7 pears, how many does Tom have?", False),
+    (6, "If Tom buys 9 apples for 9 dollars and Mary buys 7 pears, how many does Tom have?", True),
     (7, "x " * 30000 + ITEMS[0][1], True), (8, "they said: seven WORDS are enough, for one item!", True), (9, "7 7 7 7 7 7 7 7 7 7 7 7", False),
     (None, ITEMS[0][1], True),
 ]
@@ -71,7 +72,7 @@ def test_templates(spark):
     found = {(r.doc_id, r.item_id): r for r in decontam.matches(docs, items).collect()}
     assert {k for k, _ in found} == {i for i, _, leak in DOCS if leak}
     assert found[7, 1].verbatim and not found[1, 1].verbatim and found[8, 4].n_windows == 1
-    assert {r.doc_id for r in decontam.decontaminate(docs, items).collect()} == {None, 2, 3, 4, 6, 9}
+    assert {r.doc_id for r in decontam.decontaminate(docs, items).collect()} == {None, 2, 3, 4, 9}
     assert decontam.matches(docs.limit(0), items).count() == 0 == decontam.matches(docs, items.limit(0)).count()
 
 
@@ -86,12 +87,13 @@ def test_a_conflict_removes_only_its_windows(spark):
         1: LONG_ITEM.replace("friend Tom", "friend Bob"),  # one of two uses changed, the rest word for word
         2: LONG_ITEM.replace("3 apples for 5", "9 apples for 9"),  # two values became equal
         3: LONG_ITEM.replace("3 apples for 5", "9 apples for 9").replace("7 long", "4 long").replace("Tom", "Ann"),
-        4: " ".join(LONG_ITEM.replace("3 apples for 5", "9 apples for 9").split()[:17]),  # too little without a conflict
+        4: " ".join(LONG_ITEM.replace("3 apples for 5", "9 apples for 9").split()[:17]),  # in few words as well
+        5: " ".join(LONG_ITEM.replace("friend Tom", "friend Bob").split()[-17:]).replace("7 long days", "7 long days, 7 of 9"),
     }
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     items = spark.createDataFrame([(1, LONG_ITEM), (2, LONG_ITEM.replace("7 long", "5 long"))], "item_id long, text string")
     found = {(r.doc_id, r.item_id): r.verbatim for r in decontam.matches(docs, items).collect()}
-    assert {d for d, i in found if i == 1} == {1, 2, 3} and not any(found.values())
+    assert {d for d, i in found if i == 1} == {1, 2, 3, 4, 5} and not found[2, 1]
     # equal values of the item that became different ones
     assert {d for d, i in found if i == 2} >= {1, 3}
 
@@ -109,9 +111,60 @@ def test_exact_copies_of_every_item(spark):
     assert not {r.doc_id for r in found} & {11, 12, 13}
 
 
+def test_items_of_one_word_are_sentences_of_their_own(spark):
+    docs = {
+        1: "I went to Paris last year.", 2: "Where? Paris. Yes", 3: "Paris", 4: "paris, of course", 5: "In New York.", 6: "Where? New York!",
+        7: "New York Times",
+    }
+    frame = lambda d, key: spark.createDataFrame(list(d.items()), f"{key} long, text string")
+    found = decontam.matches(frame(docs, "doc_id"), frame({1: "Paris", 2: "New York"}, "item_id")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(2, 1), (3, 1), (6, 2)}
+
+
+NAMES = ["Tom", "Anna", "Bob", "Mary"]
+
+
+def plain_templates(text):
+    """Windows of ten words of a text in which only numbers and the names above are parameters."""
+    w = text.replace(",", "").replace(".", "").replace("?", "").split()
+    kinds = ["#" if x.isdigit() else "@" if x in NAMES else x.lower() for x in w]
+    return [(tuple(kinds[i : i + 10]), tuple(x for x, k in zip(w[i : i + 10], kinds[i : i + 10], strict=True) if k in "#@")) for i in range(len(w) - 9)]
+
+
+def test_parameters_against_a_plain_version(spark):
+    draw = random.Random(8)
+    line = lambda n: " ".join(draw.choice("the cat sells red old fish near its river house while many buy".split()) for _ in range(n))
+    items, docs, want = {}, {}, set()
+    for i in range(12):
+        parts = [line(4) for _ in range(4)]
+        items[i] = f"so {parts[0]} {draw.randrange(50)} {parts[1]} Tom {parts[2]} {draw.randrange(50)} {parts[3]} end"
+    for d in range(60):
+        text = items[d % 12]
+        for old in {x for x in text.split() if x.isdigit()}:
+            text = " ".join(str(draw.randrange(3)) if x == old and d % 3 else x for x in text.split())
+        text = text.replace("Tom", draw.choice(NAMES))
+        if d % 5 == 0:
+            text = line(30)
+        docs[d] = f"{line(6)} {text} {line(6)}"
+    for d, text in docs.items():
+        held = plain_templates(text)
+        for i, item in items.items():
+            pooled = {}
+            for at, (template, values) in enumerate(plain_templates(item)):
+                for place, (other, found) in enumerate(held):
+                    if other == template:
+                        pooled.setdefault(place - at, set()).update(zip(values, found, strict=True))
+            if any(len(pairs) == len({a for a, _ in pairs}) for pairs in pooled.values()):
+                want.add((d, i))
+    frame = lambda rows, key: spark.createDataFrame(list(rows.items()), f"{key} long, text string")
+    found = decontam.matches(frame(docs, "doc_id"), frame(items, "item_id")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want and len(want) >= 35
+
+
 def test_stretches():
     windows = [(0, {(1, 1)}), (1, {(1, 1), (2, 2)}), (2, {(2, 2)}), (3, {(2, 3)}), (5, set()), (6, {(2, 3)})]
     assert decontam.stretch(windows) == (3, {(1, 1), (2, 2)})
+    assert decontam.stretch([(0, {(1, 2), (3, 2)}), (1, {(4, 2)})]) == (2, {(1, 2), (3, 2), (4, 2)})
     assert decontam.stretch([(0, {(1, 2), (1, 3)}), (1, {(1, 4)})]) == (1, {(1, 4)}) and decontam.stretch([]) == (0, set())
 
 
