@@ -10,11 +10,11 @@ from pyspark.sql import types as T
 
 from gleaner.functions.numbers import lenient_int
 
-# columns of the campaign table that arrive as text and hold integers
+# fixed values: columns of the campaign table that arrive as text and hold integers
 CAMPAIGN_INTEGERS = (
     "goal", "deadline", "state_changed_at", "created_at", "launched_at", "backers_count", "final_status",
 )
-# known only after the outcome, or useless
+# fixed values: known only after the outcome, or useless
 CAMPAIGN_LEAKS = ("disable_communication", "backers_count", "state_changed_at")
 
 

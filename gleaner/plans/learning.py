@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
@@ -50,7 +51,7 @@ def documents(t):
 
 
 def cleaned(t):
-    return learn.clean_tokens(t["documents"]).select("tokens_clean")
+    return learn.clean_tokens(documents(t)).select("tokens_clean")
 
 
 @query(TOKENS + " SELECT doc_id, array_to_string(tokens, ' ') AS tokens FROM tokens")
@@ -237,14 +238,35 @@ def ruled_documents(t):
 
 
 @query(
-    f"SELECT doc_id, label, label AS prediction FROM ({RULE_WORDS}) WHERE substr(md5(concat('{SEED}:', doc_id)), 1, 8) >= 'b3333333'"
+    f"SELECT count(*) AS n, true AS good FROM ({RULE_WORDS}) WHERE substr(md5(concat('{SEED}:', doc_id)), 1, 8) >= 'b3333333'"
 )
 def text_rule_model(t):
-    """The text classifier on labels that a category decides, on rows that it was not fitted to."""
+    """The text classifier on labels that a category decides: whether over nine in ten rows that it was not fitted to
+    are placed right."""
     train, test = prepare.split_rows(ruled_documents(t), "doc_id", 0.7, SEED)
     classifier, _, _ = learn.text_classifier("label", ["n_chars"], ["lang"], max_iter=50, min_df=MIN_DF)
-    model = learn.fit_on_text(classifier, train)
-    return model.transform(test).select("doc_id", "label", F.col("predictions").cast("int").alias("prediction"))
+    scored = learn.fit_on_text(classifier, train).transform(test)
+    right = F.avg((F.col("predictions") == F.col("label")).cast("double"))
+    return scored.agg(F.count("*").alias("n"), (right > 0.9).alias("good"))
+
+
+@query(
+    f"SELECT count(*) AS n, true AS good FROM ({RULE_WORDS}) WHERE substr(md5(concat('{SEED}:', doc_id)), 1, 8) >= 'b3333333'"
+)
+def term_model(t):
+    """The language of a text by the weights of its terms alone, with no bound on their number: whether over nine in
+    ten texts that the model has not seen are placed right."""
+    tokens = learn.clean_tokens(ruled_documents(t)).select("doc_id", "label", "tokens_clean")
+    tokens = files.staged(tokens, "tokens")
+    cells, terms = learn.term_cells(tokens, "doc_id", MIN_DF)
+    cells, width = files.staged(cells, "cells"), terms.count()
+    train, test = prepare.split_rows(tokens.select("doc_id", "label"), "doc_id", 0.7, SEED)
+    table = learn.sparse_rows(cells, train, "doc_id", "label", width)
+    model = LogisticRegression(maxIter=30, regParam=1e-3).fit(table)
+    scored = model.transform(learn.sparse_rows(cells, test, "doc_id", "doc_id", width))
+    placed = scored.select(F.col("label").cast("long").alias("doc_id"), "prediction").join(test, "doc_id")
+    right = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+    return placed.agg(F.count("*").alias("n"), (right > 0.9).alias("good"))
 
 
 # three classes by two whole-number columns; the third column says nothing

@@ -62,7 +62,7 @@ VIEWS = {
                      39e0 + 5e-1 + (user_id % 12) * 5e-2 AS bs_lat, -105e0 + (user_id % 12) * 7e-2 AS bs_lng
               FROM $events GROUP BY 1, 2, 5, 6)
         GROUP BY messid""",
-    # shop result lists
+    # shop result lists (fixed values: the classes)
     "offers": """
         SELECT p_partkey AS offer_id, p_brand AS brand,
                concat('<li><span class="price">', replace(CAST(p_retailprice AS STRING), '.', '€'), '</span>',
@@ -113,7 +113,7 @@ VIEWS = {
         SELECT o_orderkey AS repo_id, concat('user', o_custkey + o_custkey % 2) AS login,
                o_orderkey % 57 AS stargazers_count
         FROM $orders""",
-    # financial pages with nested blocks; every 17th page lacks its last module
+    # financial pages with nested blocks (fixed values: classes and titles); every 17th page lacks its last module
     "company_pages": """
         SELECT p_partkey AS page_id,
                concat('<div id="sectionHeader"><div class="module"><div class="nasdaqChange"><span>Last</span><span> ',
@@ -144,7 +144,7 @@ VIEWS = {
                       '<tr><td>alone</td><td></td></tr>',
                       '</tbody></table><table><tbody><tr><td>other (no)</td><td>z</td></tr></tbody></table>') AS html
         FROM $customer""",
-    # nested service answers; some broken, some without records
+    # nested service answers (fixed values: the names of the fields); some broken, some without records
     "payloads": """
         SELECT p_partkey AS payload_id,
                CASE WHEN p_partkey % 23 = 0 THEN '{"nhits": 3, "records": ['

@@ -15,7 +15,9 @@ def duck():
 
 
 # distances iterate on Arrow batches; everything else stays in the JVM
-ARROW = {"geo_feature_matrix", "geo_error", "pairwise_distance", "geo_matrix_model", "geo_sparse_model"}
+ARROW = {
+    "geo_feature_matrix", "geo_error", "geo_oof_errors", "pairwise_distance", "places_within_radius", "geo_matrix_model", "geo_sparse_model",
+}
 
 
 def plan_of(df):
