@@ -131,9 +131,12 @@ def dedup(
     docs: DataFrame, min_lines: int = MIN_LINES, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
     long_words: int | None = None,
 ) -> DataFrame:
-    """``docs`` with the repeated runs deleted; documents that lose all their lines go."""
-    df = marked(docs, min_lines, gram, id_col, text_col, long_words)
+    """``docs`` with the repeated runs deleted; documents that lose all their lines go. Columns of any
+    name pass through."""
+    others = [c for c in docs.columns if c != text_col]
+    row = docs.select(F.struct(*others).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    df = marked(row, min_lines, gram, "doc_id", "text", long_words)
     info = F.col("line_dedup")
     emptied = (info["n_removed"] > 0) & (info["n_removed"] == info["n_lines"])
-    text = info["kept"].alias(text_col)
-    return df.filter(~emptied).select(*[text if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    columns = [info["kept"].alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
+    return df.filter(~emptied).select(*columns)
