@@ -163,3 +163,19 @@ def test_places_within_a_radius_against_the_full_square(spark):
         assert "NestedLoop" not in near._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(ValueError):
         located.within_radius(places, "id", 0.0)
+
+
+def test_radius_join_hands_on_near_pairs_only_in_bounded_keys(spark):
+    # a tenth of the places round a pole, as many at one spot, the rest all over
+    rows = [(n, 89.0 + (n % 97) / 100, (n * 37) % 360 - 180.0) for n in range(300)]
+    rows += [(n, 10.0, 20.0) for n in range(300, 2_700)]
+    rows += [(n, (n * 37) % 1700 / 10 - 85.0, (n * 911) % 3600 / 10 - 180.0) for n in range(2_700, 5_000)]
+    places = spark.createDataFrame(rows, "id long, lat double, lng double")
+    met = located.pairs_nearby(places, "id", 300.0)
+    near = located.within_radius(places, "id", 300.0)
+    n_met, n_near = met.count(), near.count()
+    assert n_near <= n_met <= 1.05 * n_near and near.dropDuplicates(["one", "other"]).count() == n_near
+    assert near.filter("one >= 300 AND other < 2700").count() == 2_400 * 2_399 // 2
+    sides = spark.createDataFrame([(0, 0)] * 4_500 + [(1, 0)], "band int, cell int")
+    blocks, tasks = located.blocks_of_cells(sides, sides)
+    assert sorted(map(tuple, blocks.collect())) == [(0, 0, 3, 3), (1, 0, 1, 1)] and tasks == 5
