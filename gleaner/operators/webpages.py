@@ -111,12 +111,15 @@ def links(pages: DataFrame, *keep: str, first: int | None = None) -> DataFrame:
 def table_rows(pages: DataFrame, *keep: str, first: int | None = None) -> DataFrame:
     """(pos, row) per body row of the first table of each page, optionally the first few. Tables
     inside a cell belong to their row."""
-    first_of = lambda source, name: H.nth(H.elements(F.col(source), H.tag(name), outermost=True), 0)
-    table = pages.select(*keep, first_of("html", "table").alias("table"))
-    body = table.select(*keep, first_of("table", "tbody").alias("body"))
-    found = H.elements(F.col("body"), H.tag("tr"), outermost=True)
-    rows = body.filter("body IS NOT NULL").select(*keep, F.posexplode(found).alias("pos", "row"))
-    return rows if first is None else rows.filter(F.col("pos") < first)
+    first_of = lambda source, name: H.nth(H.elements(source, H.tag(name), outermost=True), 0)
+    # one expression inside the generator: each step runs once a page, and no filter on it can move down to the scan,
+    # below the shuffle that spreads the pages
+    found = H.let(
+        first_of(F.col("html"), "table"),
+        lambda table: H.let(first_of(table, "tbody"), lambda body: H.elements(body, H.tag("tr"), outermost=True)),
+    )
+    found = found if first is None else F.slice(found, 1, first)
+    return pages.select(*keep, F.posexplode(found).alias("pos", "row"))
 
 
 def cell_text(row: Column, column: int) -> Column:

@@ -145,6 +145,17 @@ def test_pages_fixture(spark):
     assert [tuple(r) for r in rows.orderBy("id", "pos").collect()] == [(1, 0, "login (user name)"), (1, 1, "bc")]
 
 
+def test_rows_of_tables_are_cut_after_the_pages_are_spread(spark):
+    from gleaner.operators import webpages
+
+    pages = spark.range(40).selectExpr("id", "concat('<table><tbody><tr><td>a', id, '</td></tr><tr></tr></tbody></table>') AS html")
+    rows = webpages.table_rows(pages.repartition(4, "id"), "id", first=1)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    scan = plan[plan.index("RepartitionByExpression"):]
+    assert "aggregate(" not in scan and "aggregate(" in plan and "Filter" not in plan
+    assert {tuple(r) for r in rows.collect()} == {(n, 0, f"<td>a{n}</td>") for n in range(40)}
+
+
 def test_fields_of_unknown_json(spark):
     from gleaner.operators import webpages
 
