@@ -160,6 +160,6 @@ def whole_file_lines(t):
 )
 def token_map(t):
     """A map per document, rendered in key order so that it can be compared."""
-    maps = words.token_maps(t.spread("documents", "doc_id"), "doc_id", strings.word_tokens(F.col("text")))
+    maps = words.token_maps(t.spread("documents", "doc_id", keyed=True), "doc_id", strings.word_tokens(F.col("text")))
     entries = F.transform(F.map_entries("counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
     return maps.select("doc_id", F.size("counts").cast("long").alias("n_words"), F.array_join(F.sort_array(entries), " ").alias("counts"))

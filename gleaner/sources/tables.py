@@ -9,6 +9,7 @@ from __future__ import annotations
 from string import Template
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BASE = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -166,13 +167,25 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
-    def spread(self, name: str, key: str) -> DataFrame:
-        """A scan for work that costs much per row: given one task per core by a unique key
-        when the files alone would yield fewer. Large tables have more splits than that and
-        are left as they are. Only for tables and views without a shuffle of their own."""
+    def spread(self, name: str, key: str, keyed: bool = False) -> DataFrame:
+        """A scan for work that costs much per row: given at least one task per core by a unique key when the
+        files alone would yield fewer that hold rows, or leave over twice a core's share of the rows to one. Files are
+        split by bytes, but a row group is read by one task, so some splits may be empty. Large tables have more splits
+        than cores, evenly filled, and are left as they are, unless work that groups by the key follows and asks for rows that are
+        ``keyed``: one move of the rows instead of two of what is made of them. Only for tables and views without a
+        shuffle of their own."""
         df = self[name]
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+        cores, splits = self.spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+        if keyed:
+            # parts of a quarter of a split, since their groups are held in memory
+            return df.repartition(max(cores, 4 * splits), key)
+        if splits >= cores:
+            # no column is read for this: the rows of a row group stand in the footer
+            filled = df.groupBy(F.spark_partition_id().alias("split")).agg(F.count("*").alias("n"))
+            held = filled.agg(F.count("*").alias("tasks"), F.max("n").alias("most"), F.sum("n").alias("rows")).first()
+            if not held["rows"] or held["tasks"] >= cores and held["most"] * cores <= 2 * held["rows"]:
+                return df
+        return df.repartition(max(cores, splits), key)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in BASE:

@@ -79,3 +79,33 @@ def test_token_maps_move_counts_only(spark):
     assert {r["id"]: r["counts"] for r in maps.collect()} == {
         0: {"a": 1, "b": 1}, 3: {"a": 1, "b": 1}, 4: {"tab": 1, "here": 1}, 5: {"b": 2},
     }
+
+
+def test_tables_in_few_row_groups_are_spread(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from gleaner.sources.tables import Tables
+
+    cores = spark.sparkContext.defaultParallelism
+    rows = pa.table({"doc_id": list(range(40 * cores)), "text": [f"a b{n}" for n in range(40 * cores)]})
+    held = lambda df: {r["p"]: r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()}
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for name, group in (("one", 40 * cores), ("many", 10)):
+            (tmp_path / name).mkdir()
+            pq.write_table(rows, tmp_path / name / "documents.parquet", row_group_size=group)
+            bytes_ = (tmp_path / name / "documents.parquet").stat().st_size
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(bytes_ // (2 * cores)))
+            tables = Tables(spark, str(tmp_path / name))
+            assert tables["documents"].rdd.getNumPartitions() >= cores
+            # one row group is read by one task, whatever the number of splits
+            assert (len(held(tables["documents"])) == 1) == (name == "one")
+            spread = tables.spread("documents", "doc_id")
+            assert max(held(spread).values()) < 20 * cores and spread.count() == 40 * cores
+            assert ("Exchange" in spread._jdf.queryExecution().executedPlan().toString()) == (name == "one")
+            maps = words.token_maps(tables.spread("documents", "doc_id", keyed=True), "doc_id", strings.word_tokens(F.col("text")))
+            assert maps._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+            assert maps.count() == 40 * cores
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
