@@ -37,6 +37,8 @@ TRAIN_RATIO = 0.7
 # fixed values of the multi-class tree
 COMPONENTS = (3, 10, 20, 30)
 TREE = {"maxDepth": 30, "maxBins": 45, "impurity": "entropy"}
+#: Candidates that are fitted side by side: the many short jobs of a small tree leave most cores idle
+PARALLEL_FITS = 4
 
 
 def tokenizer() -> RegexTokenizer:
@@ -244,7 +246,8 @@ def with_folds(df: DataFrame, key: str, folds: int, seed: int, name: str = "fold
 def cross_validated(estimator, grid, evaluator, folds: int, seed: int, fold_col: str = "") -> CrossValidator:
     """``fold_col`` names the folds of :func:`with_folds`; without it rows are dealt out by their places."""
     return CrossValidator(
-        estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, seed=seed, foldCol=fold_col
+        estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, seed=seed, foldCol=fold_col,
+        parallelism=PARALLEL_FITS,
     )
 
 

@@ -192,3 +192,12 @@ def test_sparse_rows_without_cells(spark):
     cells = spark.createDataFrame([(1, 0, 2.5), (1, 7, 1.0)], "key long, slot long, value double")
     got = {r["label"]: r["features"] for r in learn.sparse_rows(cells, rows, "key", "label", 8).collect()}
     assert list(got[1.0].toArray()) == [2.5, 0, 0, 0, 0, 0, 0, 1.0, 0] and not got[0.0].toArray().any()
+
+
+def test_candidates_are_fitted_side_by_side_with_the_same_scores(spark):
+    df = spark.createDataFrame([(Vectors.dense(n % 7, n % 3), float(n % 7 > 3)) for n in range(200)], ["features", "label"])
+    tree = learn.decision_tree("label")
+    grid = learn.ParamGridBuilder().addGrid(tree.maxDepth, [1, 2, 3]).build()
+    tuner = learn.cross_validated(tree, grid, learn.f1_evaluator("label", "prediction", "accuracy"), 3, 1)
+    assert tuner.getParallelism() > 1
+    assert tuner.fit(df).avgMetrics == tuner.copy({tuner.parallelism: 1}).fit(df).avgMetrics
