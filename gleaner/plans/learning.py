@@ -288,7 +288,7 @@ HELD_ITEMS = f"SELECT item, label, label AS prediction FROM ({ITEMS}) WHERE subs
 
 def placed_items(t, estimator):
     train, test = prepare.split_rows(ruled_items(t), "item", 0.7, seed=100)
-    scored = estimator.fit(train).transform(test)
+    scored = estimator.fit(learn.dealt(train, "item").drop("item")).transform(test)
     return scored.select("item", F.col("label").cast("int"), F.col("prediction").cast("int"))
 
 
@@ -316,7 +316,9 @@ def tree_grid(t):
     tree, rows = learn.decision_tree("label"), ruled_items(t)
     grid = ParamGridBuilder().addGrid(tree.maxDepth, [1, 10, 20]).build()
     evaluator = learn.f1_evaluator("label", "prediction", "accuracy")
-    folded = learn.with_folds(rows, "item", 3, seed=100)
+    rows = learn.dealt(rows, "item")
+    # written with their folds, which would else be worked out anew for each part of each fold
+    folded = learn.dealt(files.staged(learn.with_folds(rows, "item", 3, seed=100), "folds"), "item").drop("item")
     crossed = learn.cross_validated(tree, grid, evaluator, folds=3, seed=100, fold_col="fold").fit(folded)
     held = learn.tuned_on_held_out(tree, grid, evaluator, rows, "item", 0.7, seed=100)
     n = rows.count()
@@ -368,7 +370,7 @@ def vectors(t):
 
 def fitted_predictions(t, estimator):
     train, test = prepare.split_rows(vectors(t), "vec_id", 0.7, seed=100)
-    scored = estimator.fit(train).transform(test)
+    scored = estimator.fit(learn.dealt(train, "vec_id")).transform(test)
     return scored.select("vec_id", F.col("label").cast("int"), F.col("prediction").cast("int"))
 
 

@@ -201,3 +201,37 @@ def test_candidates_are_fitted_side_by_side_with_the_same_scores(spark):
     tuner = learn.cross_validated(tree, grid, learn.f1_evaluator("label", "prediction", "accuracy"), 3, 1)
     assert tuner.getParallelism() > 1
     assert tuner.fit(df).avgMetrics == tuner.copy({tuner.parallelism: 1}).fit(df).avgMetrics
+
+
+def test_rows_of_trees_are_dealt_out_in_bounded_parts(spark):
+    df = spark.range(20_000).coalesce(1)
+    parts = learn.dealt(df, "id", rows=1_000)
+    sizes = [r["count"] for r in parts.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 1_300 and sum(sizes) == 20_000
+    assert learn.dealt(df, "id").rdd.getNumPartitions() == 1
+
+
+def test_held_out_search_decides_its_rows_once(spark):
+    class Probe:
+        seen = []
+
+        def fitMultiple(self, train, grid):
+            self.seen.append((train.storageLevel.useMemory, train.columns))
+            return iter([(0, self)])
+
+        def transform(self, held):
+            self.seen.append((held.storageLevel.useMemory, held.columns))
+            return held
+
+        def fit(self, df, params):
+            return self
+
+        def evaluate(self, df):
+            return 1.0
+
+        def isLargerBetter(self):
+            return True
+
+    probe, df = Probe(), spark.range(100).withColumn("label", F.lit(1.0))
+    assert learn.tuned_on_held_out(probe, [{}], probe, df, "id", 0.7, 1).scores == [1.0]
+    assert probe.seen == [(True, ["label"])] * 2
