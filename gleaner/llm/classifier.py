@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.llm.rules import STOP_WORDS, SYMBOLS
-from gleaner.llm.text import SEPARATORS, spread, tidied
+from gleaner.llm.text import SEPARATORS, small_batches, spread, tidied
 from gleaner.sources.files import scratch_dir, staged
 
 #: Votes; ABSENT where there is nothing to measure, which is no evidence.
@@ -44,7 +44,7 @@ ALONE = 5.0
 #: Smallest score that is kept. Below a half, since losing a good text costs more than a bad one.
 KEEP = 0.35
 #: Bytes of text that are measured together; a longer text is measured alone.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 SYMBOL = "[" + "".join("\\" + c for c in SYMBOLS) + "]"
 WORDED = r"[^\x20\x09-\x0D]"
@@ -267,6 +267,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col:
     is chosen by a hash of id and text, so a second run trains on the same rows. Texts without words
     are left out; with none at all, or all on one side, the scorer follows the prior.
     """
+    small_batches(docs.sparkSession)
     df = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     counted = df.select("text").mapInArrow(tidied(voted), "pattern string, n long")
     rows = counted.groupBy("pattern").agg(F.sum("n").alias("n")).collect()

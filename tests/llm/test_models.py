@@ -104,3 +104,19 @@ def test_classifier_on_odd_tables(spark):
     assert len(got) == 5 and all(not r.kept and r.score == 0 for r in got if r.doc_id in (1, 2))
     assert classifier.filtered(df).columns == df.columns
     assert classifier.fit(df.limit(0)).judge(df.limit(0)).count() == 0
+
+
+def test_quality_texts_are_measured_in_small_parts_with_the_same_values():
+    import numpy as np
+    import pyarrow as pa
+
+    from gleaner.llm import classifier
+
+    texts = [f"Some words of text {n}, and a few more. " * (40 + 997 * n % 3000) for n in range(90)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    parts = list(classifier.by_chunks(iter([batch])))
+    assert sum(p.num_rows for p in parts) == 90
+    assert max(sum(len(x) for x in p["text"].to_pylist()) for p in parts) <= (1 << 20) + max(map(len, texts))
+    whole, cut = classifier.Measured(batch["text"]), [classifier.Measured(p["text"]) for p in parts]
+    for name, values in whole.values.items():
+        np.testing.assert_array_equal(values, np.concatenate([m.values[name] for m in cut]))
