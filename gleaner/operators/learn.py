@@ -24,6 +24,7 @@ from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReader,
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.operators import logistic
 from gleaner.operators.prepare import split_rows
 from gleaner.operators.ranks import numbered_rows
 from gleaner.sources.files import scratch_dir, staged
@@ -151,7 +152,7 @@ class StagedPipeline(Pipeline):
         features = Pipeline(stages=feature_stages).fit(dataset)
         unnamed = F.col(last.getFeaturesCol()).alias(last.getFeaturesCol(), metadata={"names": "dropped"})
         table = staged(features.transform(dataset).select(last.getLabelCol(), unnamed), "features")
-        return PipelineModel(stages=[*features.stages, last.fit(table)])
+        return PipelineModel(stages=[*features.stages, logistic.fit(last, table)])
 
 
 def text_classifier(
