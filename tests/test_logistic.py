@@ -82,3 +82,81 @@ def test_tuned_model_of_blocks_is_saved_and_scores_alike(spark, monkeypatch, tmp
     again = PipelineModel.load(str(tmp_path / "model"))
     first, second = (m.transform(df).select("id", "predictions", "probability").orderBy("id").collect() for m in (model, again))
     assert first == second and [r["predictions"] for r in first] == [float(n % 2) for n in range(60)]
+
+
+def jobs_of(spark, name, work):
+    sc = spark.sparkContext
+    sc.setJobGroup(name, name)
+    try:
+        return work(), len(sc.statusTracker().getJobIdsForGroup(name))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def odd_rows(spark):
+    """Sparse and dense rows side by side, some without values."""
+    df = table(spark, 60, 300)
+    random = np.random.default_rng(3)
+    more = [(int(n % 3 == 0), Vectors.dense(*random.normal(size=60) * (random.random(60) < 0.2))) for n in range(60)]
+    more += [(n % 2, Vectors.sparse(60, [], [])) for n in range(20)]
+    return df.union(spark.createDataFrame(more, ["label", "features"])).repartition(5).cache()
+
+
+@pytest.mark.parametrize("way", ["task", "files", "shuffles"])
+def test_each_way_fits_like_mllib(spark, monkeypatch, tmp_path, way):
+    monkeypatch.setattr(logistic, "DRIVER_BYTES", 0)
+    monkeypatch.setattr(logistic, "FEATURES", 17)
+    monkeypatch.setattr(logistic, "CELLS", 200)
+    monkeypatch.setattr(logistic, "FILE_CELLS", 300)
+    monkeypatch.setattr(logistic, "scratch_dir", lambda spark, label: f"{tmp_path}/{label}")
+    if way != "task":
+        monkeypatch.setattr(logistic, "TASK_CELLS", 0)
+    if way == "shuffles":
+        monkeypatch.setattr(logistic, "mounted", lambda *_: None)
+    df = odd_rows(spark)
+    estimator = LogisticRegression(maxIter=20, regParam=1e-4, tol=1e-6)
+    expected, model = estimator.fit(df), logistic.fit(estimator, df)
+    assert not model.hasSummary
+    assert np.allclose(model.coefficients.toArray(), expected.coefficients.toArray(), rtol=1e-6, atol=1e-8)
+    assert model.intercept == pytest.approx(expected.intercept, rel=1e-6)
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_files_of_an_evaluation_go_with_it(spark, monkeypatch, tmp_path):
+    """Rows stay, and of weights and images no more than the last steps need."""
+    monkeypatch.setattr(logistic, "DRIVER_BYTES", 0)
+    monkeypatch.setattr(logistic, "TASK_CELLS", 0)
+    monkeypatch.setattr(logistic, "FEATURES", 30)
+    monkeypatch.setattr(logistic, "FILE_CELLS", 500)
+    monkeypatch.setattr(logistic, "scratch_dir", lambda spark, label: f"{tmp_path}/{label}")
+    held, taken = [], logistic.InFiles.taken
+    monkeypatch.setattr(logistic.InFiles, "taken", lambda self, point, done: held.append({p.name for p in tmp_path.glob("*/*")}) or taken(self, point, done))
+    logistic.fit(LogisticRegression(maxIter=25, regParam=1e-7), table(spark, 60, 400))
+    assert len(held) == 25 and not any(name.startswith("pull") for name in held[-1])
+    assert max(len({n.split("-")[1] for n in names if n.startswith("weights")}) for names in held) <= logistic.HISTORY + 2
+    assert {n for n in held[0] if n.startswith("rows")} == {n for n in held[-1] if n.startswith("rows")}
+
+
+def test_a_small_fit_costs_no_job_per_step(spark, monkeypatch):
+    monkeypatch.setattr(logistic, "DRIVER_BYTES", 0)
+    df = table(spark, 60, 400).cache()
+    estimator = LogisticRegression(maxIter=24, regParam=1e-7)
+    model, jobs = jobs_of(spark, "small-fit", lambda: logistic.fit(estimator, df))
+    assert not model.hasSummary and jobs <= 8
+    assert logistic.fit(estimator, df).coefficients == model.coefficients
+
+
+def test_a_step_in_files_is_two_jobs_of_a_stage(spark, monkeypatch):
+    monkeypatch.setattr(logistic, "DRIVER_BYTES", 0)
+    monkeypatch.setattr(logistic, "TASK_CELLS", 0)
+    monkeypatch.setattr(logistic, "FILE_CELLS", 500)
+    searches, minimised = [], logistic.Search.minimised
+    monkeypatch.setattr(logistic.Search, "minimised", lambda self: searches.append(self) or minimised(self))
+    df = table(spark, 60, 400).cache()
+    estimator = LogisticRegression(maxIter=24, regParam=1e-7)
+    _, jobs = jobs_of(spark, "files-fit", lambda: logistic.fit(estimator, df))
+    assert type(searches[0].work) is logistic.InFiles and searches[0].steps == 24
+    sc = spark.sparkContext
+    ids = sc.statusTracker().getJobIdsForGroup("files-fit")
+    stages = [len(info.stageIds) for info in map(sc.statusTracker().getJobInfo, ids) if info]
+    assert jobs - 2 * (searches[0].work.number + 1) <= 8 and sorted(stages)[len(stages) // 2] == 1
