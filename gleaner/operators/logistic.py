@@ -55,7 +55,7 @@ VALUES = 20
 #: Steps after which the weights are written, which cuts their lineage
 WRITTEN = 30
 #: Bytes of gradients that the driver may be sent by MLlib's own fit
-DRIVER_BYTES = 64 << 20
+DRIVER_BYTES = 16 << 20
 #: Values of all rows that one task fits alone, 12 bytes each
 TASK_CELLS = 1 << 23
 #: Values of the rows in a file

@@ -160,3 +160,26 @@ def test_a_step_in_files_is_two_jobs_of_a_stage(spark, monkeypatch):
     ids = sc.statusTracker().getJobIdsForGroup("files-fit")
     stages = [len(info.stageIds) for info in map(sc.statusTracker().getJobInfo, ids) if info]
     assert jobs - 2 * (searches[0].work.number + 1) <= 8 and sorted(stages)[len(stages) // 2] == 1
+
+
+def test_tuned_model_of_a_wide_table_takes_no_job_per_step(spark, tmp_path):
+    """A model that is tuned, saved, loaded and scored, over the terms that MLlib would send gradients of: as many jobs with ten
+    times the steps."""
+    df = spark.range(120).selectExpr(
+        "id", "CAST(id % 2 AS INT) AS label", "CAST(id % 7 AS DOUBLE) AS size", "if(id % 3 = 0, 'fr', 'en') AS lang",
+        "concat(if(id % 2 = 0, 'awful poor ', 'great lovely '), array_join(transform(sequence(0, 799), k -> concat('t', (id * 400 + k) % 48000)), ' ')) AS text",
+    )
+
+    def work(steps):
+        tuner = learn.tuned_text_classifier("label", ["size"], ["lang"], 1, max_iter=steps, min_documents=(1.0, 1.5))
+        model = learn.fit_on_text(tuner, df)
+        path = f"{tmp_path}/model-{steps}"
+        model.write().overwrite().save(path)
+        scored = model.transform(df).withColumnRenamed("predictions", "first").select("id", "text", "size", "lang", "first")
+        same = PipelineModel.load(path).transform(scored).filter("first = predictions").count()
+        return model.stages[-1].bestModel.stages[-1], same
+
+    (few, same_few), few_jobs = jobs_of(spark, "few-steps", lambda: work(60))
+    (many, same_many), many_jobs = jobs_of(spark, "many-steps", lambda: work(600))
+    assert few.numFeatures > 40_000 and not few.hasSummary and not many.hasSummary
+    assert same_few == same_many == 120 and many_jobs <= few_jobs + 5 and few_jobs < 200
