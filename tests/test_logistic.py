@@ -183,3 +183,17 @@ def test_tuned_model_of_a_wide_table_takes_no_job_per_step(spark, tmp_path):
     (many, same_many), many_jobs = jobs_of(spark, "many-steps", lambda: work(600))
     assert few.numFeatures > 40_000 and not few.hasSummary and not many.hasSummary
     assert same_few == same_many == 120 and many_jobs <= few_jobs + 5 and few_jobs < 200
+
+
+def test_fits_side_by_side_keep_their_files_apart(spark, monkeypatch, tmp_path):
+    """Two candidates at a time, each in files of its own: the scores of one after the other."""
+    monkeypatch.setattr(logistic, "DRIVER_BYTES", 0)
+    monkeypatch.setattr(logistic, "TASK_CELLS", 0)
+    monkeypatch.setattr(logistic, "FILE_CELLS", 300)
+    rows = [(n, f"item {'great lovely' if n % 2 else 'awful poor'} number{n % 5}", n % 2, float(n % 7), "en" if n % 3 else "fr") for n in range(60)]
+    df = spark.createDataFrame(rows, "id int, text string, label int, size double, lang string")
+    tokens = learn.clean_tokens(df).drop("text", "tokens").cache()
+    tuner = learn.tuned_text_classifier("label", ["size"], ["lang"], 1, max_iter=4, min_documents=(2.0, 40.0))
+    both, single = tuner.fit(tokens), tuner.copy({tuner.parallelism: 1}).fit(tokens)
+    assert tuner.getParallelism() == 2 and both.validationMetrics == single.validationMetrics
+    assert np.allclose(both.bestModel.stages[-1].coefficients.toArray(), single.bestModel.stages[-1].coefficients.toArray())
