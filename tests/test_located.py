@@ -179,3 +179,17 @@ def test_radius_join_hands_on_near_pairs_only_in_bounded_keys(spark):
     sides = spark.createDataFrame([(0, 0)] * 4_500 + [(1, 0)], "band int, cell int")
     blocks, tasks = located.blocks_of_cells(sides, sides)
     assert sorted(map(tuple, blocks.collect())) == [(0, 0, 3, 3), (1, 0, 1, 1)] and tasks == 5
+
+
+def test_cells_of_shops_are_found_by_all_cores(spark, monkeypatch, tmp_path):
+    """A compact table is one split, and every shop is looked up in some ten cells."""
+    from gleaner.plans import located as plans
+    from gleaner.sources.tables import Tables
+
+    spark.range(1, 5_001, 1, 1).selectExpr("id AS c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    seen, within = [], located.within_radius
+    monkeypatch.setattr(located, "within_radius", lambda places, *a: seen.append(places) or within(places, *a))
+    near = plans.places_within_radius(Tables(spark, str(tmp_path)))
+    assert near.columns == ["one", "other", "km"]
+    held = seen[0].groupBy(F.spark_partition_id()).count().collect()
+    assert len(held) >= spark.sparkContext.defaultParallelism and sum(r["count"] for r in held) == 5_000
